@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, sharding
+from . import decontamination, neighbours, sharding
 
 
 def queries() -> dict:
     return {
+        "op2_neighbours": neighbours.op2_neighbours,
         "op3_decontamination": decontamination.op3_decontamination,
         "op10_sharding": sharding.op10_sharding,
     }
