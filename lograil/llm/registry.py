@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import decontamination, neighbours, sharding
+from . import decontamination, near_dup, neighbours, sharding
 
 
 def queries() -> dict:
     return {
         "op2_neighbours": neighbours.op2_neighbours,
         "op3_decontamination": decontamination.op3_decontamination,
+        "op8_near_duplicates": near_dup.op8_near_duplicates,
         "op10_sharding": sharding.op10_sharding,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op3_decontamination": decontamination.ORACLE_OP3}
+    return {
+        "op3_decontamination": decontamination.ORACLE_OP3,
+        "op8_near_duplicates": near_dup.ORACLE_OP8,
+    }
