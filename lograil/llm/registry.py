@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontamination, near_dup, neighbours, sharding
+from . import decontamination, line_dedup, near_dup, neighbours, sharding, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_neighbours": neighbours.op2_neighbours,
         "op3_decontamination": decontamination.op3_decontamination,
+        "op4_line_dedup": line_dedup.op4_line_dedup,
         "op8_near_duplicates": near_dup.op8_near_duplicates,
         "op10_sharding": sharding.op10_sharding,
     }
@@ -17,5 +19,6 @@ def queries() -> dict:
 def oracles() -> dict[str, str]:
     return {
         "op3_decontamination": decontamination.ORACLE_OP3,
+        "op4_line_dedup": line_dedup.ORACLE_OP4,
         "op8_near_duplicates": near_dup.ORACLE_OP8,
     }
