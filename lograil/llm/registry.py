@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, near_dup, neighbours, sharding, toxicity
+from . import decontamination, line_dedup, near_dup, neighbours, secrets, sharding, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_neighbours": neighbours.op2_neighbours,
         "op3_decontamination": decontamination.op3_decontamination,
         "op4_line_dedup": line_dedup.op4_line_dedup,
+        "op6_secrets": secrets.op6_secrets,
         "op8_near_duplicates": near_dup.op8_near_duplicates,
         "op10_sharding": sharding.op10_sharding,
     }
@@ -20,5 +21,6 @@ def oracles() -> dict[str, str]:
     return {
         "op3_decontamination": decontamination.ORACLE_OP3,
         "op4_line_dedup": line_dedup.ORACLE_OP4,
+        "op6_secrets": secrets.ORACLE_OP6,
         "op8_near_duplicates": near_dup.ORACLE_OP8,
     }
