@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, near_dup, neighbours, secrets, sharding, token_files, toxicity
+from . import decontamination, line_dedup, near_dup, neighbours, pieces, secrets, sharding, token_counts, token_files, toxicity
 
 
 def queries() -> dict:
@@ -11,9 +11,11 @@ def queries() -> dict:
         "op2_neighbours": neighbours.op2_neighbours,
         "op3_decontamination": decontamination.op3_decontamination,
         "op4_line_dedup": line_dedup.op4_line_dedup,
+        "op5_pieces": pieces.op5_pieces,
         "op6_secrets": secrets.op6_secrets,
         "op7_token_files": token_files.op7_token_files,
         "op8_near_duplicates": near_dup.op8_near_duplicates,
+        "op9_token_counts": token_counts.op9_token_counts,
         "op10_sharding": sharding.op10_sharding,
     }
 
