@@ -3,12 +3,12 @@
 Texts are lower-cased and everything but letters and digits becomes one space. Features are the distinct character n-grams of 2 to 5,
 hashed to 2^18 columns. Each column is scaled by r = log((p / |p|) / (q / |q|)), where p and q count (plus a prior) the toxic and the
 other training documents that have it; a logistic regression with an L2 penalty then weighs the scaled columns. Both classes weigh the
-same in it, so 0.5 is where a text speaks for neither.
+same in it. Its intercept is not fitted but the log odds of the labels, so that a text that says nothing scores what labels say of any.
 
 The model is fitted on a bounded sample: at most TRAIN_ROWS documents a class, those with the smallest hashes of their ids, and of
 these no more than TRAIN_CHARS characters a class. Every document is scored on its whole text; only the text enters the score.
 
-Null and empty texts have no n-grams and get the score of the intercept. Repeated rows get equal scores. An id with several labels counts
+Null and empty texts have no n-grams and score the share of toxic labels. Repeated rows get equal scores. An id with several labels counts
 as toxic if one of them is 1; null labels and ids are not learned from. With no toxic or no other training document, every score is 0. An
 empty table has an empty result.
 """
@@ -28,7 +28,7 @@ from .common import append_columns, fresh, map_batches, table
 NGRAMS = (2, 3, 4, 5)
 LOG_COLUMNS = 18
 COLUMNS = 1 << LOG_COLUMNS
-TRAIN_ROWS, TRAIN_CHARS = 2500, 12_000_000
+TRAIN_ROWS, TRAIN_CHARS = 2500, 5_000_000
 #: Columns whose ratio is smaller in size are left out of the model: scaled by it they would weigh next to nothing.
 LEAST_RATIO = 0.3
 PRIOR, PENALTY, ROUNDS = 1.0, 0.002, 120
@@ -70,35 +70,37 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.intercept + self.weights[columns].sum(dtype=np.float64), -700, 700))))
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray) -> Model | None:
-    """The model from feature columns and labels; None unless both labels occur."""
+def fit(rows: list[np.ndarray], toxic: np.ndarray, share: float) -> Model | None:
+    """The model from feature columns (the list is emptied) and labels; None unless both labels occur. share: of toxic ones among all."""
     if not toxic.any() or toxic.all():
         return None
-    cols, y = np.concatenate(rows), toxic.astype(np.float64)
-    lengths = np.array([len(r) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    p = PRIOR + np.bincount(cols, weights=y[owner], minlength=COLUMNS)
-    q = PRIOR + np.bincount(cols, weights=1 - y[owner], minlength=COLUMNS)
+    y = toxic.astype(np.float64)
+    p, q = np.full(COLUMNS, PRIOR), np.full(COLUMNS, PRIOR)
+    for r, t in zip(rows, toxic, strict=True):  # a row has each of its columns once
+        (p if t else q)[r] += 1
     ratio = np.log((p / p.sum()) / (q / q.sum()))
     seen = np.flatnonzero((p + q - 2 * PRIOR >= 3) & (np.abs(ratio) >= LEAST_RATIO))
-    new = np.full(COLUMNS, -1, dtype=np.int64)
-    new[seen] = np.arange(len(seen))
-    keep = new[cols] >= 0
-    cols, owner = new[cols[keep]], owner[keep]
+    new = np.full(COLUMNS, -1, dtype=np.int32)
+    new[seen] = np.arange(len(seen), dtype=np.int32)
+    kept = []
+    for k, r in enumerate(rows):
+        c = new[r]
+        kept.append(c[c >= 0])
+        rows[k] = None  # the full rows are not needed any longer
+    cols = np.concatenate(kept)
+    owner = np.repeat(np.arange(len(kept), dtype=np.int32), [len(c) for c in kept])
+    del kept
     x, n = ratio[seen], len(rows)
     each = np.where(y == 1, 0.5 / y.sum(), 0.5 / (n - y.sum()))  # both classes weigh the same
-    w, b = np.zeros(len(seen)), 0.0
-    mw, vw, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
+    w, b = np.zeros(len(seen)), float(np.log(share / (1 - share)))
+    mw, vw = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, ROUNDS + 1):
         margin = np.bincount(owner, weights=(w * x)[cols], minlength=n) + b
         slope = (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - y) * each
         gw = x * np.bincount(cols, weights=slope[owner], minlength=len(seen)) + PENALTY * w
-        gb = slope.sum()
         mw, vw = 0.9 * mw + 0.1 * gw, 0.99 * vw + 0.01 * gw * gw
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         a = 0.05 / (1 + t / 60) * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
         w -= a * mw / (np.sqrt(vw) + 1e-8)
-        b -= a * mb / (np.sqrt(vb) + 1e-8)
     full = np.zeros(COLUMNS, dtype=np.float32)
     full[seen] = w * x
     return Model(full, b)
@@ -138,8 +140,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return fn
 
     rows = map_batches(slim.join(F.broadcast(few), "_i").select("_t", "_y", "_i"), "f binary, y int, i long", features)
-    got = sorted((r["i"], r["y"], bytes(r["f"])) for r in rows.collect())
-    return fit([np.frombuffer(f, dtype=np.int32) for _, _, f in got], np.array([y for _, y, _ in got]) == 1)
+    # At most 2 * TRAIN_CHARS * len(NGRAMS) columns of 4 bytes come to the driver.
+    got = rows.toArrow()
+    order = np.lexsort((got["y"].to_numpy(), got["i"].to_numpy())).tolist()
+    fields, y = got["f"], got["y"].to_numpy() == 1
+    return fit([np.frombuffer(fields[k].as_py(), dtype=np.int32) for k in order], y[order], counts[1] / (counts[0] + counts[1]))
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", score_col: str = "score") -> tuple[DataFrame, str]:
