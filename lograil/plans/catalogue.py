@@ -312,7 +312,7 @@ def _forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE {LOGS}, n AS (SELECT regexp_replace(regexp_replace(content, '^user \\d+', 'user x'), ' did ([a-z]+)', ' did \\1 \\1-event') AS message, min(seq) AS id FROM logs GROUP BY 1), w AS (SELECT id, message, list_distinct(string_split(lower(message), ' ')) AS s FROM n),
-e AS (SELECT a.id AS a, b.id AS b FROM w a JOIN w b ON a.id <> b.id AND 1 - len(list_intersect(a.s, b.s)) * 1e0 / len(list_distinct(list_concat(a.s, b.s))) <= 0.3e0 + 1e-12),
+e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM w a JOIN w b ON a.id <> b.id AND 1 - len(list_intersect(a.s, b.s)) * 1e0 / len(list_distinct(list_concat(a.s, b.s))) <= 0.3e0 + 1e-12),
 r(a, b) AS (SELECT id, id FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a) SELECT message, CASE WHEN count(*) > 1 THEN min(b) END AS cluster FROM r JOIN n ON n.id = r.a GROUP BY message""")
 def dbscan_components(spark, d):
     """Clusters by similarity, noise null."""
