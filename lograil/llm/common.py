@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +16,7 @@ from pyspark.sql.types import StructField, StructType
 from lograil.shipping import ensure_shipped
 
 _own_dir: list[str] = []
+_paths: dict = {}
 
 
 def scratch(spark: SparkSession) -> str:
@@ -33,7 +36,22 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     path = f"{scratch(df.sparkSession)}/lograil-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the tables of materialized frames that no plan will read again, and lets Spark drop shuffles that nothing refers to."""
+    for df in frames:
+        ref, path = _paths.pop(id(df), (None, ""))
+        if ref is not None and ref() is df:
+            jvm = df.sparkSession.sparkContext._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    if frames:
+        gc.collect()
+        frames[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def fresh(columns: list[str], name: str) -> str:

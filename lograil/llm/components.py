@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
-        edges = materialize(small, "cc")
+        old, edges = edges, materialize(small, "cc")
+        discard(old)
         # Done when every node hangs on a root and no root hangs on another: a sum over the edges no longer changes.
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b").cast("decimal(38,0)"))).first()
         if now == before:

@@ -9,8 +9,8 @@ In each bucket the node that shares most buckets with others is the hub, and edg
 bucket of n nodes has n - 1 edges. Every edge is confirmed on the full sets, and linked nodes join into components (large-star and
 small-star rounds). What a hub refused may still belong to something that the hub accepted. So, in buckets that then still hold
 several components, the members outside the largest one meet those of the other components, as far as three bounds allow a link:
-the sizes of the two sets, the metric (Jaccard distance is one: |d(hub, x) - d(hub, y)| <= 1 - threshold), and one bit for each bin of
-the signature, at seven standard deviations. These pairs are confirmed as well, so that no two members of a bucket that are similar
+the sizes of the two sets and of what each has that no other set among these members has, the metric (Jaccard distance is one:
+|d(hub, x) - d(hub, y)| <= 1 - threshold), and one bit for each bin of the signature, at seven standard deviations. These pairs are confirmed as well, so that no two members of a bucket that are similar
 enough end in different components. No candidate is capped.
 
 Null and empty texts have the empty set: n_shingles 0, linked with nothing. Repeated rows each have a result row. The component is
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from .common import append_columns, fresh, map_batches, materialize, table
+from .common import append_columns, discard, fresh, map_batches, materialize, table
 from .components import connected_components
 
 WORDS, ROWS, BANDS = 5, 6, 32
@@ -136,6 +136,22 @@ def sketch(sig: np.ndarray) -> np.ndarray:
     return np.packbits((_mix(sig) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
+#: Bits of the fine sketch, for the few nodes that the first links leave open.
+FINE = 2048
+_FINE = _draws.integers(0, 1 << 63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def fine_sketch(hashes: np.ndarray) -> np.ndarray:
+    """One bit of each of `FINE` independent minima of a set."""
+    least = np.full(FINE, np.iinfo(np.uint64).max, np.uint64)
+    for lo in range(0, len(hashes), 256):
+        h = hashes[lo : lo + 256, None] * _FINE[None, :]
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        np.minimum(least, h.min(axis=0), out=least)
+    return np.packbits(((least >> np.uint64(7)) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
 def _sets(words: int):
     def make():
         def fn(texts):
@@ -164,6 +180,37 @@ def _explode_bands():
     return fn
 
 
+def _with_texts(wanted: DataFrame, docs: DataFrame, each: int) -> DataFrame:
+    """wanted (of, key, doc, roles) with the texts of the ids in `doc`; each: bytes of one entry of roles.
+
+    The wanted rows go to all scans while they are small (64 MB at most); beyond that Spark shuffles both sides by id.
+    """
+    small = wanted.agg(F.count("*").alias("n"), F.sum(F.size("roles")).alias("k")).first()
+    ids = F.broadcast(wanted) if small["n"] * 48 + (small["k"] or 0) * each <= 64 << 20 else wanted
+    return docs.join(ids, docs["_id"].eqNullSafe(ids["doc"])).select("_text", "key", "of", "roles")
+
+
+def _alone(chosen: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """nid, u, fine, bands, and the written table that this comes from: how many shingles of a chosen node no other chosen node has, its fine sketch, its buckets in order."""
+    wanted = materialize(chosen.join(nodes.select("nid", "key", "doc"), "nid").select(F.col("nid").alias("of"), "key", "doc", F.array().cast("array<int>").alias("roles")), "near-wanted")
+
+    def emit():
+        def fn(b):
+            for text, key, of in zip(b.column("_text"), b.column("key").to_pylist(), b.column("of").to_pylist(), strict=True):
+                s = shingle_set(text.as_py(), words)
+                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == key:
+                    yield pa.RecordBatch.from_arrays([pa.array([of]), pa.array([s.view(np.int64)], pa.list_(pa.int64())), pa.array([fine_sketch(s)], pa.list_(pa.int64())), pa.array([band_keys(signature(s)).view(np.int64)], pa.list_(pa.int64()))], names=["nid", "h", "fine", "bands"])
+
+        return fn
+
+    sets = materialize(map_batches(_with_texts(wanted, docs, 0), "nid long, h array<long>, fine array<long>, bands array<long>", emit).dropDuplicates(["nid"]), "near-sets")
+    each = sets.select("nid", F.explode("h").alias("h"))
+    once = each.groupBy("h").agg(F.min("nid").alias("nid"), F.max("nid").alias("last")).where("nid = last").groupBy("nid").agg(F.count("*").alias("u"))
+    discard(wanted)
+    lonely = materialize(sets.select("nid", "fine", "bands").join(once, "nid", "left").select("nid", "fine", "bands", F.coalesce("u", F.lit(0)).alias("u")), "near-alone")
+    return lonely, sets
+
+
 def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """hub, nid, common, n_hub, n_nid of the edges (hub, nid), counted on full sets taken from the texts once more.
 
@@ -176,10 +223,7 @@ def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) ->
     roles = salted.select(F.col("nid").alias("of"), "hub", "salt", F.lit(1).alias("role")).unionByName(hot.select(F.col("hub").alias("of"), "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role")))
     wanted = roles.groupBy("of").agg(F.collect_list(F.struct("hub", "salt", "role")).alias("roles")).join(nodes.select(F.col("nid").alias("of"), "key", "doc"), "of")
     wanted = materialize(wanted, "near-wanted")
-    # The few wanted ids go to all scans while they are small; beyond that Spark shuffles both sides by id.
-    small = wanted.agg(F.count("*").alias("n"), F.sum(F.size("roles")).alias("k")).first()
-    ids = F.broadcast(wanted) if small["n"] * 48 + (small["k"] or 0) * 24 <= 64 << 20 else wanted
-    with_text = docs.join(ids, docs["_id"].eqNullSafe(ids["doc"])).select("_text", "key", "of", "roles")
+    with_text = _with_texts(wanted, docs, 24)
 
     def emit():
         def fn(b):
@@ -232,7 +276,9 @@ def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) ->
 
         return fn
 
-    return map_batches(dealt, "hub long, nid long, common long, n_hub long, n_nid long", compare).dropDuplicates(["hub", "nid"])
+    tested = materialize(map_batches(dealt, "hub long, nid long, common long, n_hub long, n_nid long", compare).dropDuplicates(["hub", "nid"]), "near-tested")
+    discard(wanted)
+    return tested
 
 
 def _allowed(a: str, b: str, percent: int):
@@ -260,17 +306,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     # A node's weight: how many others it meets. The hub of a bucket is the one that meets most.
     weight = shared.groupBy("nid").agg(F.sum(F.col("size") - 1).alias("weight")).join(nodes.select("nid", "n", "s"), "nid")
     members = materialize(shared.select("bucket", "nid").join(weight, "nid"), "near-members")
+    discard(shared)
     hubs = members.groupBy("bucket").agg(F.max(F.struct("weight", F.negative("nid").alias("m"), "n", "s")).alias("top")).select("bucket", F.negative("top.m").alias("hub"), F.col("top.n").alias("n"), F.col("top.s").alias("s"))
     star = members.alias("x").join(hubs.alias("y"), "bucket").where((F.col("nid") != F.col("hub")) & _allowed("x", "y", percent))
     edges = materialize(star.select("hub", "nid").distinct(), "near-edges")
-    tested = materialize(_confirm(edges, nodes, slim, words), "near-tested")
+    tested = _confirm(edges, nodes, slim, words)
+    discard(edges)
     passes = 100 * F.col("common") >= percent * (F.col("n_hub") + F.col("n_nid") - F.col("common"))
     links = tested.where(passes).select(F.col("hub").alias("a"), F.col("nid").alias("b"))
     labels = connected_components(links)
-    open_ = materialize(_unresolved(members, hubs.select("bucket", "hub"), tested, labels, percent), "near-open")
+    open_ = _unresolved(members, hubs.select("bucket", "hub"), tested, labels, percent, lambda chosen: _alone(chosen, nodes, slim, words))
+    discard(members)
     if not open_.isEmpty():
-        more = _confirm(open_, nodes, slim, words).where(passes).select(F.col("hub").alias("a"), F.col("nid").alias("b"))
-        labels = connected_components(links.unionByName(more))
+        more = _confirm(open_, nodes, slim, words)
+        labels = connected_components(links.unionByName(more.where(passes).select(F.col("hub").alias("a"), F.col("nid").alias("b"))))
+        discard(more)
+    discard(open_, tested)
     named = nodes.join(labels, nodes["nid"] == labels["node"], "left").select("key", "doc", F.coalesce("component", "nid").alias("c"))
     names = named.groupBy("c").agg(F.min("doc").alias("name"), F.count("*").alias("k")).where("k > 1").select("c", "name")
     of = named.join(names, "c", "left").select(F.col("key").alias("_key"), F.coalesce("name", "doc").alias("component"))
@@ -279,23 +330,41 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("_id") == component).alias("kept"), "text_hash")
 
 
-def _unresolved(members: DataFrame, hubs: DataFrame, tested: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Untested pairs (hub, nid) of a bucket's members in different components that the bounds allow to be linked."""
+def _unresolved(members: DataFrame, hubs: DataFrame, tested: DataFrame, labels: DataFrame, percent: int, alone) -> DataFrame:
+    """Untested pairs (hub, nid) of a bucket's members in different components that the bounds allow to be linked.
+
+    Of a pair's common shingles neither set can count those that it has alone, and both kinds count in the union: most copies that were
+    edited too much for a link are out by this bound without meeting any other.
+    """
     far = F.lit(1.0) - F.col("common") / (F.col("n_hub") + F.col("n_nid") - F.col("common"))
     met = tested.select("hub", "nid", far.alias("d"))
     all_ = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("c", F.coalesce("component", "nid")).drop("component")
     by_c = all_.groupBy("bucket", "c").agg(F.count("*").alias("k"))
     several = by_c.groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("cs")).where("cs > 1").select("bucket", F.col("top.c").alias("main"))
     all_ = all_.join(several, "bucket").join(hubs, "bucket").join(met, ["hub", "nid"], "left").withColumn("d", F.when(F.col("hub") == F.col("nid"), 0.0).otherwise(F.col("d")))
-    all_ = materialize(all_.select("bucket", "main", "nid", "c", "n", "s", "d"), "near-all")
+    seen = materialize(all_.select("bucket", "main", "nid", "c", "n", "s", "d"), "near-all")
+    lonely, sets = alone(seen.select("nid").distinct())
+    # Without these: with nobody could one be linked, not even with a set that has all the rest of it and nothing else.
+    all_ = seen.join(lonely, "nid").where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
     minor = all_.where(F.col("c") != F.col("main"))
     reach = F.lit(1 - percent / 100 + 1e-9)
     near = F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= reach, F.lit(True))
     twice = (F.col("y.c") == F.col("y.main")) | (F.col("x.nid") < F.col("y.nid"))
-    pairs = minor.alias("x").join(all_.alias("y"), F.col("x.bucket") == F.col("y.bucket")).where((F.col("x.c") != F.col("y.c")) & twice & near & _allowed("x", "y", percent))
+    common = F.least(F.col("x.n") - F.col("x.u"), F.col("y.n") - F.col("y.u"))
+    union = F.greatest(F.col("x.n") + F.col("y.u"), F.col("y.n") + F.col("x.u"))
+    apart = F.aggregate(F.zip_with("x.fine", "y.fine", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    mean = (1 - percent / 100) / 2
+    fine = apart <= FINE * (mean + 7 * (mean * (1 - mean) / FINE) ** 0.5)
+    # A pair is made in the first bucket that it shares.
+    place = F.array_position("x.bands", F.col("x.bucket")).cast("int")
+    sooner = F.exists(F.zip_with(F.slice("x.bands", 1, place - 1), F.slice("y.bands", 1, place - 1), lambda a, b: a == b), lambda e: e)
+    twice = twice & (100 * common >= percent * union)
+    pairs = minor.alias("x").join(all_.alias("y"), F.col("x.bucket") == F.col("y.bucket")).where((F.col("x.c") != F.col("y.c")) & twice & near & _allowed("x", "y", percent) & fine & ~sooner)
     pairs = pairs.select(F.least("x.nid", "y.nid").alias("hub"), F.greatest("x.nid", "y.nid").alias("nid")).distinct()
     done = tested.select(F.least("hub", "nid").alias("hub"), F.greatest("hub", "nid").alias("nid"))
-    return pairs.join(done, ["hub", "nid"], "left_anti")
+    open_ = materialize(pairs.join(done, ["hub", "nid"], "left_anti"), "near-open")
+    discard(seen, sets, lonely)
+    return open_
 
 
 def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
