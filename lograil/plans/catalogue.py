@@ -214,7 +214,7 @@ def spearman_pa_ned(spark, d):
     return metrics.spearman(both, "pa", "ned").select(F.round("rho", 9).alias("rho"))
 
 
-@query(f"""WITH {LOGS} SELECT ds, count(*) AS log_volume, sum((seq % 10 = 0)::INT) AS llm_invocations, sum((seq % 10 <> 0)::INT) AS cache_hits, round(avg((seq % 10 <> 0)::INT), 9) AS cache_hit_rate, round(count(*) / 12.5e0, 9) AS throughput,
+@query(f"""WITH {LOGS} SELECT ds, count(*) AS log_volume, CAST(sum((seq % 10 = 0)::INT) AS BIGINT) AS llm_invocations, CAST(sum((seq % 10 <> 0)::INT) AS BIGINT) AS cache_hits, round(avg((seq % 10 <> 0)::INT), 9) AS cache_hit_rate, round(count(*) / 12.5e0, 9) AS throughput,
  round(sum((seq % 100 = 0)::INT) * 1e0 / (sum((seq % 10 = 0)::INT) + sum((seq % 100 = 0)::INT)), 9) AS failure_rate FROM logs GROUP BY ds""")
 def profile_rates(spark, d):
     """Derived rates of a run's counters."""
@@ -273,7 +273,7 @@ def icl_topk(spark, d):
     return found.select(F.md5("message").alias("message"), F.col("template").cast("long").alias("example"), F.round("similarity", 9).alias("similarity"), "rank")
 
 
-@query(f"WITH {LOGS} SELECT ds, sum(regexp_matches(content, '^user (.*?) did view value (.*?)$')::INT) AS hit, sum((NOT regexp_matches(content, '^user (.*?) did view value (.*?)$'))::INT) AS missed FROM logs GROUP BY ds")
+@query(f"WITH {LOGS} SELECT ds, CAST(sum(regexp_matches(content, '^user (.*?) did view value (.*?)$')::INT) AS BIGINT) AS hit, CAST(sum((NOT regexp_matches(content, '^user (.*?) did view value (.*?)$'))::INT) AS BIGINT) AS missed FROM logs GROUP BY ds")
 def regex_match_split(spark, d):
     """Logs that a template's regex matches, and the others, by dataset."""
     base = logs(spark, d).select("ds", F.col("content").alias("message"))
@@ -412,7 +412,7 @@ def grok_patterns(spark, d):
     return grok.patterns(logs(spark, d).select(t.alias("parsed_template"), "seq"))
 
 
-@query(f"WITH {LOGS} SELECT line_id, sum(1) OVER w AS total_volume, sum((seq % 10 = 0)::INT) OVER w AS total_llm FROM logs WINDOW w AS (PARTITION BY ds ORDER BY seq)")
+@query(f"WITH {LOGS} SELECT line_id, CAST(sum(1) OVER w AS BIGINT) AS total_volume, CAST(sum((seq % 10 = 0)::INT) OVER w AS BIGINT) AS total_llm FROM logs WINDOW w AS (PARTITION BY ds ORDER BY seq)")
 def cumulative_history(spark, d):
     """Running counters of each dataset."""
     rows = logs(spark, d).withColumns({"volume": F.lit(1), "llm": (F.col("seq") % 10 == 0).cast("int")})
