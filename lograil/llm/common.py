@@ -17,6 +17,8 @@ from lograil.shipping import ensure_shipped
 
 _own_dir: list[str] = []
 _paths: dict = {}
+#: Rows that a Python function gets at a time: what bounds a worker's memory.
+ROWS_AT_ONCE = 1000
 
 
 def scratch(spark: SparkSession) -> str:
@@ -62,27 +64,35 @@ def fresh(columns: list[str], name: str) -> str:
     return name
 
 
+def _prepare(spark: SparkSession) -> None:
+    ensure_shipped(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= 4 * ROWS_AT_ONCE:
+        spark.conf.set(key, 4 * ROWS_AT_ONCE)
+
+
 def append_columns(df: DataFrame, inputs: list[str], fields: list[StructField], make: Callable[[], Callable[..., list[pa.Array]]]) -> DataFrame:
     """df with further columns that a Python function makes of whole Arrow batches.
 
     make() runs once in each task and returns the function from the input columns to the new ones. No row moves.
     """
-    ensure_shipped(df.sparkSession)
+    _prepare(df.sparkSession)
     at = [df.columns.index(c) for c in inputs]
     names = [*df.columns, *(f.name for f in fields)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([*b.columns, *fn(*(b.column(i) for i in at))], names=names)
+            for lo in range(0, b.num_rows, ROWS_AT_ONCE):
+                part = b.slice(lo, ROWS_AT_ONCE)
+                yield pa.RecordBatch.from_arrays([*part.columns, *fn(*(part.column(i) for i in at))], names=names)
 
     return df.mapInArrow(run, StructType([*df.schema.fields, *fields]))
 
 
 def map_batches(df: DataFrame, schema: StructType, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]]) -> DataFrame:
     """Rows that a Python function makes of whole Arrow batches; make() runs once in each task."""
-    ensure_shipped(df.sparkSession)
+    _prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()

@@ -17,20 +17,21 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField
 
 from .common import append_columns, fresh, table
 
 MARK = "▁"
-CHUNKS_KEPT = 350_000
+CHUNKS_KEPT = 300_000
 #: Characters of new chunks that are indexed at a time, and the longest chunk that is relaxed with others.
-INDEX_CHARS, LONG_CHUNK = 400_000, 200
+INDEX_CHARS, LONG_CHUNK = 250_000, 200
 _NONE = np.int64((1 << 62) - 1)
 
 
@@ -54,25 +55,35 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
 def occurrence_ranges(codes: np.ndarray, order: np.ndarray, pieces: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each piece (rows of codes, padded with -1) the range of the suffix array whose suffixes begin with it, by binary search."""
     depth, n = pieces.shape[1], len(codes)
-    padded = np.concatenate([codes.astype(np.int64), np.zeros(depth, np.int64)])
-    span = np.arange(depth)
+    padded = np.concatenate([codes.astype(np.int32), np.zeros(depth, np.int32)])
+    pieces, span = pieces.astype(np.int32), np.arange(depth, dtype=np.int32)
     inside = span[None, :] < lengths[:, None]
-    ends = []
-    for upper in (False, True):
-        lo, hi = np.zeros(len(pieces), np.int64), np.full(len(pieces), n, np.int64)
-        while True:
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
-                break
+    # All suffixes that begin with a piece's first character are neighbours: the search starts from their range.
+    first_code = padded[order]
+    begin, end = np.searchsorted(first_code, pieces[:, 0], "left"), np.searchsorted(first_code, pieces[:, 0], "right")
+
+    def bound(which: np.ndarray, upper: bool) -> np.ndarray:
+        lo, hi = begin[which].copy(), end[which].copy()
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
             mid = (lo[open_] + hi[open_]) // 2
-            differs = (padded[order[mid][:, None] + span] - pieces[open_]) * inside[open_]
-            first = (differs != 0).argmax(axis=1)
-            sign = np.sign(differs[np.arange(len(open_)), first])
+            w = which[open_]
+            differs = (padded[order[mid][:, None] + span] - pieces[w]) * inside[w]
+            sign = differs[np.arange(len(open_)), (differs != 0).argmax(axis=1)]
             right = sign <= 0 if upper else sign < 0
             lo[open_[right]] = mid[right] + 1
             hi[open_[~right]] = mid[~right]
-        ends.append(lo)
-    return ends[0], ends[1]
+            open_ = open_[lo[open_] < hi[open_]]
+        return lo
+
+    every = np.arange(len(pieces))
+    lo = bound(every, False)
+    hi = lo.copy()
+    # Only pieces that occur at all have an upper bound to look for.
+    there = every[lo < n]
+    there = there[((padded[order[lo[there]][:, None] + span] == pieces[there]) | ~inside[there]).all(axis=1)]
+    hi[there] = bound(there, True)
+    return lo, hi
 
 
 class PieceModel:
@@ -122,7 +133,7 @@ class PieceModel:
                 out += [self.byte[b] for b in s.encode("utf-8")]
             else:
                 out.append(self.unknown)
-        return np.array(out, dtype=np.int32).tobytes()
+        return array('i', out).tobytes()
 
     def _long(self, chunk: str, spans: dict[int, int]) -> list[str]:
         """The symbols of one long chunk. spans: rank of each edge of it, by start * depth + length."""
@@ -319,19 +330,25 @@ def decode(rows: DataFrame, model: str, ids_col: str) -> tuple[DataFrame, str]:
 
 def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens, ids_crc32 (of the ids as little-endian 32-bit numbers) and whether the ids decode to the text."""
-    from pyspark.sql.types import LongType
-
     encoded, ids = encode(docs.select(id_col, text_col), model, text_col)
+    names = [fresh(encoded.columns, c) for c in ("ids_crc32", "round_trip")]
 
     def make():
-        def fn(lists):
-            return [pa.array([zlib.crc32(x.values.to_numpy().astype("<i4").tobytes()) if x.is_valid else None for x in lists], pa.int64())]
+        m = piece_model(model)
+
+        def fn(texts, lists):
+            crc, same = [], []
+            for t, x in zip(texts, lists, strict=True):
+                own = x.values.to_numpy() if x.is_valid else None
+                crc.append(None if own is None else zlib.crc32(own.astype("<i4").tobytes()))
+                same.append(not t.is_valid if own is None else m.decode(own) == t.as_py())
+            return [pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
 
         return fn
 
-    decoded, text = decode(encoded, model, ids)
-    out = append_columns(decoded, [ids], [StructField("ids_crc32", LongType())], make)
-    return out.select(id_col, F.when(F.col(ids).isNull(), F.lit(0)).otherwise(F.size(ids)).cast("long").alias("n_tokens"), "ids_crc32", F.col(text).eqNullSafe(F.col(text_col)).alias("round_trip"))
+    out = append_columns(encoded, [text_col, ids], [StructField(names[0], LongType()), StructField(names[1], BooleanType())], make)
+    n = F.when(F.col(ids).isNull(), F.lit(0)).otherwise(F.size(ids)).cast("long")
+    return out.select(id_col, n.alias("n_tokens"), F.col(names[0]).alias("ids_crc32"), F.col(names[1]).alias("round_trip"))
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
