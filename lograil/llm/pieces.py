@@ -282,8 +282,11 @@ def default_model() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", batch_chars: int = 2_000_000) -> tuple[DataFrame, str]:
-    """docs with a column of piece ids, and that column's name."""
+def encode(docs: DataFrame, model: str, text_col: str = "text", batch_chars: int = 2_000_000, round_trip: str | None = None) -> tuple[DataFrame, str]:
+    """docs with a column of piece ids, and that column's name.
+
+    round_trip: the name of one more column, whether the ids decode to the text; the same worker decodes, so a task needs one.
+    """
     name = fresh(docs.columns, "piece_ids")
 
     def make():
@@ -300,7 +303,11 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", batch_chars: int
                     held, size = [], 0
             if held:
                 arrays.append(arrow(m.encode(held)))
-            return [pa.concat_arrays(arrays)]
+            ids = pa.concat_arrays(arrays)
+            if round_trip is None:
+                return [ids]
+            same = [not t.is_valid if not x.is_valid else m.decode(x.values.to_numpy()) == t.as_py() for t, x in zip(texts, ids, strict=True)]
+            return [ids, pa.array(same, pa.bool_())]
 
         def arrow(ids):
             ends = np.concatenate([[0], np.cumsum([0 if i is None else len(i) for i in ids])])
@@ -310,7 +317,8 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", batch_chars: int
 
         return fn
 
-    return append_columns(docs, [text_col], [StructField(name, ArrayType(IntegerType()))], make), name
+    fields = [StructField(name, ArrayType(IntegerType()))] + ([StructField(round_trip, BooleanType())] if round_trip else [])
+    return append_columns(docs, [text_col], fields, make), name
 
 
 def decode(rows: DataFrame, model: str, ids_col: str) -> tuple[DataFrame, str]:
