@@ -94,6 +94,33 @@ def test_neighbours_recall_and_order(spark):
     assert hits / total >= 0.9
 
 
+def test_windows_hold_recall_as_tables_grow():
+    n = 200_000
+    x = np.random.default_rng(1).standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q = np.arange(0, n, n // 60)
+    score = x[q] @ x.T
+    score[np.arange(len(q)), q] = -np.inf
+    top = np.argpartition(-score, 20, axis=1)[:, :20]
+    curves = neighbours.Curves(x[:4096], 1.0, neighbours.CURVES, neighbours.DIMS, neighbours.BITS, neighbours.SEED)
+    met, step = np.zeros(top.shape, bool), neighbours.step_of(n)
+    for key in curves.keys(x, False):
+        pos = np.empty(n, np.int64)
+        pos[np.argsort(key, kind="stable")] = np.arange(n)
+        first = (pos[q] // step // 4 * 4 - 1)[:, None] * step
+        met |= (pos[top] >= first) & (pos[top] < first + 6 * step)
+    assert met.mean() >= 0.9
+
+
+def test_tiles_of_a_window_change_nothing(spark, monkeypatch):
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(2).standard_normal((400, 8)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    key = lambda r: (r["query_id"], r["rank"], r["vec_id"])
+    whole = sorted(map(key, neighbours.nearest(df).collect()))
+    monkeypatch.setattr(neighbours, "TILE", 40)
+    assert sorted(map(key, neighbours.nearest(df).collect())) == whole
+
+
 def test_neighbours_of_few_and_none(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (20, [0.0, 2.0])]
     got = {(r["query_id"], r["rank"]): r["vec_id"] for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
