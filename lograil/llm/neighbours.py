@@ -6,8 +6,11 @@ the unit cube, shifts the cube at random and sorts by Hilbert key. Spark range-p
 keys half a window before and after become the borders of overlapping key windows, so that no neighbour is lost at an edge.
 Each window compares its queries with its vectors; windows of all curves merge, and the best by the exact measure stay.
 
+Equal vectors are one node, with the k + 1 rows of the smallest ids; nodes are indexed, compared and ranked, then expanded to their rows.
+So copies, however many, take one place in a window, and each of a node's query rows has the node's answer without itself.
+
 A window is six steps. A step is HALO * sqrt(n), or HALO * n^POWER / PART where that is more (from about 80,000 vectors on): vectors
-without low-dimensional structure need windows that grow nearly as the table does, or recall falls. The work per query is
+without low-dimensional structure need windows that grow nearly as the table does, or recall falls. The work per query node is
 curves * 6 * step, so that of a whole table grows as n^1.9. A window of more than TILE rows is compared in several tasks, each with all
 of its queries and a share of its vectors, so a task's memory does not grow.
 
@@ -32,6 +35,8 @@ CURVES, DIMS, BITS, HALO, SEED = 28, 8, 4, 1.2, 77
 SPREAD_SAMPLE = 4096
 #: Growth of the steps that keeps recall, from measurements at 50,000 to 600,000 random vectors of 64 numbers.
 POWER, PART = 0.9, 92
+#: Query rows of one vector that one task answers.
+SALT_ROWS = 256
 #: Vectors that one task compares with a window's queries.
 TILE = 65_536
 
@@ -99,33 +104,47 @@ def vectors_of(column: pa.Array) -> np.ndarray:
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """rid, vid, v (doubles) of the vectors that take part."""
-    v = F.transform(vector_col, lambda x: x.cast("double"))
+    v = F.transform(vector_col, lambda x: x.cast("double") + F.lit(0.0))  # no negative zeros
     whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     return vectors.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("vid"), v.alias("v")).where(F.col("v").isNotNull() & (F.size("v") > 0) & F.coalesce(whole, F.lit(False)))
 
 
+def _nodes(rows: DataFrame, most: int) -> DataFrame:
+    """One row for each distinct vector: rid (a number of the node), vid (its smallest), v, h, g, ids (its `most` rows of smallest ids), asked, n_asked.
+
+    The limit is taken in each partition before the shuffle, so a vector of many rows is never gathered.
+    """
+    same = ["h", "g"]
+    first = rows.withColumn("place", F.row_number().over(Window.partitionBy(*same).orderBy(F.asc_nulls_last("vid"), "rid"))).where(F.col("place") <= most)
+    ids = first.groupBy(*same).agg(F.min_by("v", "place").alias("v"), F.min("rid").alias("rid"), F.min("vid").alias("vid"), F.array_sort(F.collect_list(F.struct("place", "vid", "rid"))).alias("ids"))
+    asked = rows.where("asked").groupBy(*same).agg(F.count("*").alias("n_asked"))
+    ids = ids.withColumn("ids", F.transform("ids", lambda x: F.struct(x["vid"].alias("vid"), x["rid"].alias("rid"))))
+    return ids.join(asked, same, "left").withColumn("n_asked", F.coalesce("n_asked", F.lit(0))).withColumn("asked", F.col("n_asked") > 0)
+
+
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", curves: int = CURVES, halo: float = HALO, seed: int = SEED) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by `every`, among all other rows."""
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    base = materialize(_usable(vectors, id_col, vector_col), "ann")
-    lengths = base.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
+    usable = _usable(vectors, id_col, vector_col).withColumns({"h": F.xxhash64("v"), "g": F.xxhash64(F.lit(SEED), "v")})
+    rows = materialize(usable.withColumn("asked", F.coalesce(F.col("vid") % every == 0, F.lit(False))), "ann")
+    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     if not lengths:
         return spark.createDataFrame([], schema)
-    base = base.where(F.size("v") == lengths[0]["n"])
+    rows = rows.where(F.size("v") == lengths[0]["n"])
+    base = materialize(_nodes(rows, k + 1), "ann-nodes")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     n, longest = base.agg(F.count("*"), F.max(norm)).first()
-    sample = np.array([r["v"] for r in base.orderBy(F.xxhash64("rid")).limit(SPREAD_SAMPLE).select("v").collect()])
+    sample = np.array([r["v"] for r in base.orderBy("g", "h").limit(SPREAD_SAMPLE).select("v").collect()])
     shared = spark.sparkContext.broadcast(Curves(sample, longest, curves, DIMS, BITS, seed))
     step = step_of(n, halo)
-    tiles = math.ceil(6 * step / TILE)
+    tiles, most = math.ceil(6 * step / TILE), k + 1
 
     def keyed_rows(b: pa.RecordBatch):
         """(rows, their vectors, their keys on each curve, whether they are queries): candidates, then queries."""
         lists = b.column("v")
         x = np.array(lists.flatten()).reshape(b.num_rows, -1)
-        ids = b.column("vid")
-        asked = np.array([i is not None and i % every == 0 for i in ids.to_pylist()])
+        asked = b.column("asked").to_numpy(zero_copy_only=False)
         yield np.arange(b.num_rows), x, shared.value.keys(x, False), False
         at = np.flatnonzero(asked)
         if len(at):
@@ -142,7 +161,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
         return fn
 
     # The order of each curve: sorted key ranges, then the number of rows before each range.
-    slim = map_batches(base.select("rid", "vid", "v"), "c int, key long, rid long", keys)
+    slim = map_batches(base.select("rid", "asked", "v"), "c int, key long, rid long", keys)
     ranged = materialize(slim.repartitionByRange("c", "key", "rid").sortWithinPartitions("c", "key", "rid").withColumn("m", F.monotonically_increasing_id()), "ann-keys")
     p = F.shiftright("m", 33)
     firsts = ranged.groupBy(p.alias("p"), "c").agg(F.min("m").alias("first"), F.count("*").alias("k")).collect()
@@ -185,7 +204,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
 
         return fn
 
-    dealt = map_batches(base.select("rid", "vid", "v"), "c int, w int, t int, q boolean, rid long, vid long, v binary", deal)
+    dealt = map_batches(base.select("rid", "vid", "asked", "v"), "c int, w int, t int, q boolean, rid long, vid long, v binary", deal)
 
     def rerank(rows: pa.Table) -> pa.Table:
         x = vectors_of(rows.column("v"))
@@ -197,21 +216,35 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
         for lo in range(0, len(has), 256):
             asked = has[lo : lo + 256]
             near = x[asked] @ own.T
-            near[rid[asked][:, None] == rid[order][None, :]] = -np.inf
             for i, row in zip(asked, near, strict=True):
-                top = np.argsort(-row, kind="stable")[: k + 8] if len(row) <= 4 * k else (t := np.flatnonzero(row >= np.partition(row, -k)[-k] - 1e-12))[np.argsort(-row[t], kind="stable")]
-                top = top[row[top] > -np.inf]
+                top = np.argsort(-row, kind="stable")[: most + 8] if len(row) <= 4 * most else (t := np.flatnonzero(row >= np.partition(row, -most)[-most] - 1e-12))[np.argsort(-row[t], kind="stable")]
                 exact = np.einsum("ij,j->i", own[top], x[i])
-                best = np.lexsort((top, -exact))[:k]
+                best = np.lexsort((top, -exact))[:most]
                 found.append((i, order[top[best]], exact[best]))
         qs = np.concatenate([np.full(len(c), i) for i, c, _ in found]).astype(int) if found else np.zeros(0, int)
         cs = np.concatenate([c for _, c, _ in found]).astype(int) if found else np.zeros(0, int)
-        return pa.table({"q_rid": pa.array(rid[qs]), "query_id": pa.array([vid[i] for i in qs], pa.int64()), "rid": pa.array(rid[cs]), "vec_id": pa.array([vid[i] for i in cs], pa.int64()), "score": pa.array(np.concatenate([s for _, _, s in found]) if found else np.zeros(0))})
-
-    pairs = dealt.groupBy("c", "w", "t").applyInArrow(rerank, "q_rid long, query_id long, rid long, vec_id long, score double")
-    merged = pairs.groupBy("q_rid", "rid").agg(F.first("query_id").alias("query_id"), F.first("vec_id").alias("vec_id"), F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("q_rid").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "rid"))
-    return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+        return pa.table({"q": pa.array(rid[qs]), "rid": pa.array(rid[cs]), "vid": pa.array([vid[i] for i in cs], pa.int64()), "score": pa.array(np.concatenate([s for _, _, s in found]) if found else np.zeros(0))})
+
+    pairs = dealt.groupBy("c", "w", "t").applyInArrow(rerank, "q long, rid long, vid long, score double")
+    # A query lies elsewhere than its own node if that is not of the greatest length; its copies are candidates all the same.
+    norm2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    pairs = pairs.union(base.where(F.col("asked") & (F.size("ids") > 1)).select(F.col("rid").alias("q"), "rid", "vid", norm2.alias("score")))
+    merged = pairs.groupBy("q", "rid").agg(F.first("vid").alias("vid"), F.max("score").alias("score"))
+    best = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("vid"), "rid")
+    near = merged.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most).select("q", "rid", "score")
+    # Nodes to rows: the best k + 1 of a query node hold the best k of each of its rows.
+    found = near.join(base.select("rid", "ids"), "rid").select("q", "score", F.inline("ids"))
+    found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
+    answers = found.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("place", "vid", "rid", "score"))).alias("found"))
+    heads = base.where("asked").select(F.col("rid").alias("q"), "h", "g", F.ceil(F.col("n_asked") / SALT_ROWS).cast("int").alias("salts"))
+    answers = answers.join(heads, "q").select("h", "g", "found", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    # Vectors with more query rows than SALT_ROWS: fewer than the queries by that factor.
+    hot = heads.where("salts > 1").select("h", "g", "salts")
+    asked = rows.where("asked").select("h", "g", F.col("vid").alias("query_id"), F.col("rid").alias("own")).join(F.broadcast(hot), ["h", "g"], "left")
+    asked = asked.withColumn("salt", F.pmod(F.xxhash64("own"), F.coalesce("salts", F.lit(1))).cast("int"))
+    others = F.slice(F.filter("found", lambda x: x["rid"] != F.col("own")), 1, k)
+    out = asked.join(answers, ["h", "g", "salt"]).select("query_id", F.posexplode(others).alias("at", "one"))
+    return out.select("query_id", (F.col("at") + 1).alias("rank"), F.col("one.vid").alias("vec_id"), F.col("one.score").alias("score"))
 
 
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

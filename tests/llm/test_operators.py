@@ -121,6 +121,28 @@ def test_tiles_of_a_window_change_nothing(spark, monkeypatch):
     assert sorted(map(key, neighbours.nearest(df).collect())) == whole
 
 
+def test_neighbours_among_many_copies(spark, monkeypatch):
+    """Copies beyond a window's size: ties go to the smallest ids, whatever the order of the rows."""
+    monkeypatch.setattr(neighbours, "SALT_ROWS", 8)
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1500, 16))
+    x[::3] = x[0]
+    x[1] = x[0] * 2
+    ids = rng.permutation(len(x)).tolist()
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)] + [(None, x[0].tolist())], "vec_id long, embedding array<double>"), k=5).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    at = {i: j for j, i in enumerate(ids)}
+    copies = sorted(ids[::3])
+    asked = [i for i in copies if i % 20 == 0]
+    assert len(asked) > 8
+    for i in asked:
+        score = x @ x[0]
+        want = sorted((j for j in ids if j != i), key=lambda j: (-round(score[at[j]], 9), j))[:5]
+        assert [got[i][r] for r in range(1, 6)] == want and set(want) & set(copies)
+    assert set(got) == {i for i in ids if i % 20 == 0} and all(len(v) == 5 for v in got.values())
+
+
 def test_neighbours_of_few_and_none(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (20, [0.0, 2.0])]
     got = {(r["query_id"], r["rank"]): r["vec_id"] for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
