@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of templates that recur in other documents go; n_chars, if there, follows. No document goes."""
-    out, _ = line_dedup.drop_recurring(docs)
+    """Lines of templates that recur in other documents go, short ones too; n_chars, if there, follows. No document goes."""
+    out, _ = line_dedup.drop_recurring(docs, short_lines=True)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(out.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

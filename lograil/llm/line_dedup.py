@@ -7,7 +7,8 @@ fields of one half share a template. Lines of fewer than LONG tokens have one te
 say too little.
 
 A template recurs if lines of at least two documents have it. The document with the smallest id keeps its lines of a recurring template, and
-all other documents lose theirs. Lines of fewer than SHORT tokens are never dropped. Which templates a line has depends on the line alone, so
+all other documents lose theirs. With `short_lines` (the pipeline) lines of fewer than SHORT tokens have one template too, the masked line
+itself, except blank lines and lines of wildcards alone; without it (op4, as its SQL says) they are never dropped. Which templates a line has depends on the line alone, so
 the tree needs no order, the counts are plain aggregates of numbers, and no leaf is gathered anywhere.
 
 A null text stays null, an empty one empty; a document may lose all its lines and is then an empty text; no document is dropped. Rows of one id
@@ -41,11 +42,11 @@ def tokens_of(line: str) -> list[str]:
     return tokens
 
 
-def templates_of(line: str) -> list[str]:
-    """The keys of the templates that a line has: none if it is too short."""
+def templates_of(line: str, short_lines: bool = False) -> list[str]:
+    """The keys of the templates that a line has: none if it is too short, or with short_lines, if it is short and says nothing."""
     tokens = tokens_of(line)
     n = len(tokens)
-    if n < SHORT:
+    if n < SHORT and not (short_lines and any(t != WILD for t in tokens)):
         return []
     if n < LONG:
         return [f"{n} " + " ".join(tokens)]
@@ -54,7 +55,7 @@ def templates_of(line: str) -> list[str]:
     return [f"{n} {lead} | {' '.join(tokens[LEAD:half])} | {WILD}", f"{n} {lead} | {WILD} | {' '.join(tokens[half:])}"]
 
 
-def _parse():
+def _parse(short_lines: bool):
     digest = xxhash.xxh3_64_intdigest
 
     def fn(b):
@@ -63,7 +64,7 @@ def _parse():
             row, place, keys = [], [], []
             for i, text in enumerate(part.column("_t").to_pylist()):
                 for k, line in enumerate(text.split("\n")) if text else ():
-                    for t in templates_of(line):
+                    for t in templates_of(line, short_lines):
                         row.append(i)
                         place.append(k)
                         keys.append(digest(t.encode("utf-8", "surrogatepass")))
@@ -78,19 +79,19 @@ def _order(id_col: str, text_col: str):
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text_col), 3))
 
 
-def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_lines: bool = False) -> DataFrame:
     """o, h, places: by order and text hash of a document, the sorted numbers (from 0) of the lines that it loses."""
     slim = docs.select(_order(id_col, text_col).alias("_o"), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_t"))
-    lines = materialize(map_batches(slim, "template long, o long, h long, place int", _parse), "lines")
+    lines = materialize(map_batches(slim, "template long, o long, h long, place int", lambda: _parse(short_lines)), "lines")
     tree = lines.groupBy("template").agg(F.min("o").alias("first"), F.max("o").alias("last")).where("first <> last").select("template", "first")
     lost = lines.join(tree, "template").where("o <> first").select("o", "h", "place")
     return lost.groupBy("o", "h").agg(F.array_sort(F.collect_set("place")).alias("places"))
 
 
-def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_lines: bool = False) -> tuple[DataFrame, str]:
     """docs with recurring lines taken out of the texts and a column of the numbers of these lines, whose name is the second value."""
     name = fresh(docs.columns, "dropped_lines")
-    lost = recurring_lines(docs, id_col, text_col)
+    lost = recurring_lines(docs, id_col, text_col, short_lines)
     mine = (_order(id_col, text_col) == lost["o"]) & (F.xxhash64(docs[text_col]) == lost["h"])
     joined = docs.join(lost, mine, "left")
     kept = F.array_join(F.filter(F.split(docs[text_col], "\n", -1), lambda x, i: ~F.array_contains("places", i)), "\n")

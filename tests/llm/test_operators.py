@@ -200,6 +200,12 @@ def test_recurring_lines_go(spark):
     assert got[8][0] == rows[7][1] and got[9][0] == ""
 
 
+def test_short_recurring_lines_go_in_the_pipeline(spark):
+    rows = [(1, "All rights reserved.\n12\n\none of a kind", "s"), (2, "mine\nAll rights reserved.\n12\n\n永久に無料です", "s"), (3, "永久に無料です\n \n13 14\nAll rights reserved. Always", "s")]
+    out = corpus_pipeline.drop_lines(spark, docs_of(spark, rows), "")
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: rows[0][1], 2: "mine\n12\n\n永久に無料です", 3: " \n13 14\nAll rights reserved. Always"}
+
+
 def test_line_dedup_of_odd_and_no_rows(spark, odd, nothing):
     out, _ = line_dedup.drop_recurring(odd)
     assert out.count() == len(ODD) and set(odd.columns) < set(out.columns)
