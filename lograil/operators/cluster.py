@@ -2,33 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lograil.functions import text as T
-
-_own: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place and not _own:
-        _own.append("file://" + tempfile.mkdtemp(prefix="lograil-"))
-    return place or _own[0]
-
-
-def _written(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read back: lineage stays short over the rounds of an iteration."""
-    spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), f"lograil-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+from lograil.storage import discard, materialize
 
 def by_length(logs: DataFrame, message: str = "message", dataset: str | None = None) -> DataFrame:
     """logs with n_tokens and cluster: one cluster for each dataset and number of words."""
@@ -78,32 +56,60 @@ def dynamic_eps(logs: DataFrame, threshold: float, message: str = "message") ->
 
 def components(links: DataFrame) -> DataFrame:
     """node, component: the least node that can be reached; links: a, b."""
-    edges = _written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = _written(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("l")).withColumnRenamed("a", "node"))
+    edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = materialize(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("l")).withColumnRenamed("a", "node"), "labels")
     while True:
         # A node takes the least label among its neighbours', then that label's own label: paths halve.
         near = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("l").alias("m"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", F.least("l", "m").alias("n"), "l")
         up = step.select(F.col("node").alias("p"), F.col("n").alias("q"))
-        new = _written(step.join(up, step["n"] == up["p"], "left").select("node", F.least("n", F.coalesce("q", "n")).alias("n"), "l"))
+        old, new = labels, materialize(step.join(up, step["n"] == up["p"], "left").select("node", F.least("n", F.coalesce("q", "n")).alias("n"), "l"), "labels")
         changed = not new.where("n <> l").isEmpty()
         labels = new.select("node", F.col("n").alias("l"))
+        discard(old)
         if not changed:
             return labels.withColumnRenamed("l", "component")
 
 
-def by_similarity(logs: DataFrame, threshold: float = 0.8, id_col: str = "id", message: str = "message", weighting: str = "binary", dynamic: bool = False) -> DataFrame:
-    """logs with cluster: the least id of a cluster, null for noise.
+def near_pairs(nodes: DataFrame, radius: str, id_col: str = "id", message: str = "message", weighting: str = "binary", within: str | None = None) -> DataFrame:
+    """a, b of the pairs (a < b) no farther apart than the column `radius` of a says. With `within` only pairs of one group.
+
+    Of two sets that share the part t of their union, one shares a word with the n - ceil(t n) + 1 rarest of the other's n: only these are
+    indexed, so that words which all messages have make no pairs. Cosine distances come from the whole index.
+    """
+    group = F.col(within) if within else F.lit(0)
+    if weighting != "binary":
+        bound = nodes.select(F.col(id_col).alias("a"), F.col(radius).alias("_r"))
+        return distances(nodes, id_col, message, weighting, within).join(bound, "a").where(F.col("d") <= F.col("_r") + 1e-12).select("a", "b")
+    words = nodes.select(F.col(id_col).alias("i"), group.alias("g"), F.col(radius).alias("r"), F.explode(F.array_distinct(T.word_tokens(F.lower(F.col(message))))).alias("w"))
+    often = words.groupBy("g", "w").agg(F.count("*").alias("k"))
+    sets = words.join(often, ["g", "w"]).groupBy("i", "g", "r").agg(F.array_sort(F.collect_list(F.struct("k", "w"))).alias("s"))
+    sets = materialize(sets.select("i", "g", "r", F.transform("s", lambda x: x["w"]).alias("s")), "word-sets")
+    few = F.size("s") - F.ceil((1 - F.col("r")) * F.size("s") - 1e-9).cast("int") + 1
+    rare = sets.select("i", "g", F.explode(F.slice("s", 1, F.least(few, F.size("s")))).alias("w"))
+    met = rare.alias("x").join(rare.alias("y"), (F.col("x.g") == F.col("y.g")) & (F.col("x.w") == F.col("y.w"))).where(F.col("x.i") < F.col("y.i"))
+    met = met.select(F.col("x.i").alias("a"), F.col("y.i").alias("b")).distinct()
+    both = met.join(sets.select(F.col("i").alias("a"), "r", F.col("s").alias("p")), "a").join(sets.select(F.col("i").alias("b"), F.col("s").alias("q")), "b")
+    return both.where(1 - T.jaccard(F.col("p"), F.col("q")) <= F.col("r") + 1e-12).select("a", "b")
+
+
+def by_similarity(logs: DataFrame, threshold: float = 0.8, id_col: str = "id", message: str = "message", weighting: str = "binary", dynamic: bool = False, within: str | None = None) -> DataFrame:
+    """logs with cluster: the least id of a cluster, null for noise. With `within` groups (batches) cluster apart from each other.
 
     Density clustering with neighbourhoods of two is the components of the graph of near pairs, singletons being noise. Equal messages are one
-    node; a message that occurs twice is a cluster even without a near one.
+    node; a message that occurs twice is a cluster even without a near one. `dynamic`: each group's radius follows its own spread of lengths.
     """
-    eps = dynamic_eps(logs, threshold, message) if dynamic else 1 - threshold
-    nodes = logs.groupBy(message).agg(F.min(id_col).alias("node"), F.count("*").alias("copies"))
-    near = distances(nodes, "node", message, weighting).where(F.col("d") <= F.lit(eps) + 1e-12)
-    found = components(near)
-    of = nodes.join(found, "node", "left").select(message, F.coalesce("component", F.when(F.col("copies") > 1, F.col("node"))).alias("cluster"))
-    return logs.join(of, message)
+    keys = ([within] if within else []) + [message]
+    nodes = logs.groupBy(*keys).agg(F.min(id_col).alias("_node"), F.count("*").alias("_copies"))
+    if dynamic:
+        spread = logs.groupBy(*keys[:-1]).agg(F.coalesce(F.stddev_pop(F.size(T.word_tokens(message))), F.lit(0.0)).alias("_sd"))
+        nodes = nodes.join(spread, within) if within else nodes.join(F.broadcast(spread), F.lit(True))  # one row
+        nodes = nodes.withColumn("_eps", F.least(F.lit(0.5), F.greatest(F.lit(0.05), (1 - threshold) * (1 + 0.1 * F.col("_sd"))))).drop("_sd")
+    else:
+        nodes = nodes.withColumn("_eps", F.lit(1 - threshold))
+    found = components(near_pairs(nodes, "_eps", "_node", message, weighting, within))
+    of = nodes.join(found, nodes["_node"] == found["node"], "left").select(*keys, F.coalesce("component", F.when(F.col("_copies") > 1, F.col("_node"))).alias("cluster"))
+    return logs.join(of, keys)
 
 
 def settle_noise(clustered: DataFrame, id_col: str = "id", message: str = "message") -> DataFrame:

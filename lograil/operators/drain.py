@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lograil.functions import text as T
+from lograil.shipping import ensure_shipped
 
 WILD = T.WILD
 
@@ -74,6 +75,7 @@ def tree_groups(logs: DataFrame, dataset: str = "dataset", message: str = "messa
         at = [tree.add(list(t)) for t in rows["_tok"]]
         return pd.DataFrame({dataset: rows[dataset], "_tok": rows["_tok"], "event_template": [" ".join(tree.clusters[k]) for k in at]})
 
+    ensure_shipped(logs.sparkSession)
     kind = logs.schema[dataset].dataType.simpleString()
     grown = distinct.groupBy(dataset, "_n").applyInPandas(grow, f"`{dataset}` {kind}, _tok array<string>, event_template string")
     out = logs.withColumn("_tok", masked).join(grown, [dataset, "_tok"])
@@ -83,6 +85,8 @@ def tree_groups(logs: DataFrame, dataset: str = "dataset", message: str = "messa
 def parameters(template: Column, message: Column) -> Column:
     """What the message has in the places of the template's wildcards; none if it doesn't match."""
 
+    ensure_shipped()
+
     @F.pandas_udf("array<string>")
     def find(templates: pd.Series, messages: pd.Series) -> pd.Series:
         return pd.Series([parameters_of(t, m) for t, m in zip(templates, messages, strict=True)])

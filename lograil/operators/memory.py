@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import OrderedDict, deque
+from collections import OrderedDict
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lograil.functions import imperative as I
 from lograil.functions import text as T
+from lograil.shipping import ensure_shipped
 
 WILD = T.WILD
 
@@ -58,16 +59,6 @@ def regex_of(template: str) -> str:
     return "^" + re.escape(one).replace(r"<\*>", "(.*?)") + "$"
 
 
-class FifoMemory:
-    """Entries in their order; the oldest goes when there are too many."""
-
-    def __init__(self, most: int | None = None):
-        self.entries: deque = deque(maxlen=most)
-
-    def add(self, entry) -> None:
-        self.entries.append(entry)
-
-
 @dataclass
 class RegexMemory:
     """Regexes of whole messages, by words: the longest first, then in the order in which they came."""
@@ -86,6 +77,12 @@ class RegexMemory:
         self.known.insert(at, (wc, regex))
         return True
 
+    @classmethod
+    def of(cls, regexes: list[str]) -> RegexMemory:
+        """Admitted regexes, in their order."""
+        known = sorted(((r.count(" ") + 1, r) for r in dict.fromkeys(regexes)), key=lambda e: -e[0])
+        return cls(known, set(regexes))
+
     def find(self, message: str) -> str | None:
         n = message.count(" ") + 1
         for wc, regex in self.known:
@@ -186,6 +183,8 @@ def variable_candidates(logs_and_templates: DataFrame, cap: int | None = 100, me
 
     Plain numbers and words, values of more than three words and empty ones are no candidates; a bracket around a value goes.
     """
+    ensure_shipped(logs_and_templates.sparkSession)
+
     @F.pandas_udf("array<string>")
     def captures(templates: pd.Series, messages: pd.Series) -> pd.Series:
         found = (I.safe_match(regex_of(t), m) if t is not None and m is not None else None for t, m in zip(templates, messages, strict=True))
@@ -198,6 +197,11 @@ def variable_candidates(logs_and_templates: DataFrame, cap: int | None = 100, me
     return first.orderBy(F.desc("first")).limit(cap) if cap is not None else first
 
 
+def fifo(entries: DataFrame, most: int | None, order: str = "seq") -> DataFrame:
+    """What a memory holds that forgets its oldest entries: the last `most` by their order, all of them without a bound."""
+    return entries.orderBy(F.desc(order)).limit(most) if most is not None else entries
+
+
 def admit_regexes(proposed: DataFrame, message: str = "message") -> DataFrame:
     """regex, wc, seq of the proposed regexes (regex, message, seq) that say something and match their whole message, each once."""
     ok = ~T.is_thin("regex") & F.expr(f"`{message}` rlike concat('^(?:', regex, ')$')")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lograil.functions import text as T
+from lograil.shipping import ensure_shipped
 
 WILD = T.WILD
 
@@ -55,6 +56,7 @@ def calibrate(templates: DataFrame, threshold: float = 0.95) -> DataFrame:
         merged = dict(merge_greedily(rows["template"].tolist(), threshold))
         return pd.DataFrame({"template": rows["template"], "seq": rows["seq"], "merged": rows["template"].map(merged)})
 
+    ensure_shipped(templates.sparkSession)
     sized = templates.select("template", F.col("seq").cast("long").alias("seq"), F.size(T.space_tokens("template")).alias("_n"))
     return sized.groupBy("_n").applyInPandas(run, "template string, seq long, merged string")
 

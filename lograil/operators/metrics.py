@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lograil.functions import text as T
+from lograil.storage import materialize
+
+#: Templates that go to every task.
+MOST_TEMPLATES = 20_000
 
 
 def _by(keys: list[str], *more: str) -> list[str]:
@@ -89,17 +93,26 @@ def granularity(pairs: DataFrame, keys: list[str]) -> DataFrame:
 def silhouette(rows: DataFrame, keys: list[str]) -> DataFrame:
     """pmss: mean of (b - a) / max(a, b), a the edit dissimilarity of a content to its template and b that to the nearest other template.
 
-    Contents and templates are made distinct first, so that the pairs compared are distinct contents by templates. A segment with one row or
-    one template has 0. Two equal distances of 0 count as 0.
+    Contents are made distinct first. Each meets its group's templates, a dictionary of checked size that goes to all tasks in the order of
+    their lengths; a template whose length alone puts it no nearer than the nearest so far is not compared. A larger dictionary is joined by
+    group. A segment with one row or one template has 0. Two equal distances of 0 count as 0.
     """
     seen = rows.groupBy(*_by(keys, "content", "parsed")).agg(F.count("*").alias("n"))
     templates = seen.select(*keys, "parsed").distinct()
-    other = templates.withColumnRenamed("parsed", "other")
     length = F.length("content")
-    far = lambda t: F.levenshtein("content", t) / F.greatest(length, F.length(t), F.lit(1))
-    # Spark sends the templates to all tasks while they are few (its own threshold); in groups it joins by the group.
-    pairs = (seen.join(other, keys) if keys else seen.join(other, F.lit(True))).where(F.col("other") != F.col("parsed"))
-    per = pairs.groupBy(*_by(keys, "content", "parsed", "n")).agg(F.min(far("other")).alias("b")).withColumn("a", far("parsed"))
+    longest = lambda t: F.greatest(length, F.length(t), F.lit(1))
+    far = lambda t: F.levenshtein("content", t) / longest(t)
+    if templates.limit(MOST_TEMPLATES + 1).count() <= MOST_TEMPLATES:
+        sized = F.transform(F.array_sort(F.collect_set(F.struct(F.length("parsed").alias("k"), "parsed"))), lambda x: x["parsed"])
+        lists = templates.groupBy(*keys).agg(sized.alias("others"))
+        met = seen.join(F.broadcast(lists), keys) if keys else seen.join(F.broadcast(lists), F.lit(True))  # one row
+        none = (lambda acc, t: (t == F.col("parsed")) | (F.abs(length - F.length(t)) / longest(t) >= acc))
+        nearest = F.aggregate("others", F.lit(2.0), lambda acc, t: F.when(none(acc, t), acc).otherwise(F.least(acc, far(t))))
+        per = met.where(F.size("others") > 1).select(*_by(keys, "n"), far("parsed").alias("a"), nearest.alias("b"))
+    else:
+        other = templates.withColumnRenamed("parsed", "other")
+        pairs = (seen.join(other, keys) if keys else seen.join(other, F.lit(True))).where(F.col("other") != F.col("parsed"))
+        per = pairs.groupBy(*_by(keys, "content", "parsed", "n")).agg(F.min(far("other")).alias("b")).withColumn("a", far("parsed"))
     score = F.when(F.greatest("a", "b") == 0, 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
     scored = per.groupBy(*keys).agg(F.sum(score * F.col("n")).alias("s"), F.sum("n").alias("m"))
     sizes = seen.groupBy(*keys).agg(F.sum("n").alias("rows"))
@@ -107,16 +120,35 @@ def silhouette(rows: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*keys, F.when(F.col("rows") <= 1, 0.0).otherwise(F.coalesce(F.col("s") / F.col("m"), F.lit(0.0))).alias("pmss"))
 
 
-def bundle(rows: DataFrame, keys: list[str], with_silhouette: bool = True) -> DataFrame:
-    """All metrics of each group on the level `spaced`, and pa and fta on all four levels (pa_raw, fta_raw, ...)."""
-    spaced = at_level(rows, "spaced")
-    pairs = pair_counts(spaced, keys)
-    parts = [grouping(pairs, keys), accuracy(pairs, keys), template_f1(pairs, keys), edit_distance(pairs, keys), granularity(pairs, keys)]
+def rejoined(rows: DataFrame, id_col: str, keys: list[str]) -> DataFrame:
+    """keys, gt, parsed of aligned rows whose truth meets the parsed side by id once more: k rows of one id become k * k."""
+    on = _by(keys, id_col)
+    return rows.select(*on, "gt").join(rows.select(*on, "parsed"), on).select(*keys, "gt", "parsed")
+
+
+def bundle(rows: DataFrame, keys: list[str], with_silhouette: bool = True, dataset: str | None = None) -> DataFrame:
+    """All metrics of each group on the level `spaced`, and pa and fta on all four levels (pa_raw, fta_raw, ...).
+
+    The rows are grouped once, as they came; levels are made of the distinct pairs. With `dataset` groups are that column's segments and
+    `Overall` (`segment`), which doubles the pairs and not the rows.
+    """
+    raw = pair_counts(rows, [dataset] if dataset else keys)
+    if dataset:
+        keys = ["segment"]
+        raw = with_overall(raw, dataset).groupBy("segment", "gt", "parsed").agg(F.sum("n").alias("n"))
+    raw = materialize(raw, "pairs")
+    levels = F.array(*(F.struct(F.lit(lv).alias("level"), T.at_level("gt", lv).alias("gt"), T.at_level("parsed", lv).alias("parsed")) for lv in T.LEVELS))
+    every = raw.select(*keys, "n", F.explode(levels).alias("x")).select(*keys, "n", "x.*").groupBy(*_by(keys, "level", "gt", "parsed")).agg(F.sum("n").alias("n"))
+    every = materialize(every, "levels")
+    spaced = every.where("level = 'spaced'").drop("level")
+    rates = accuracy(every, _by(keys, "level")).join(template_f1(every, _by(keys, "level")), _by(keys, "level"))
+    at = lambda c, lv: F.max(F.when(F.col("level") == lv, F.col(c)))
+    named = [at(c, lv).alias(f"{c}_{lv}") for lv in T.LEVELS for c in ("pa", "fta")]
+    by_level = rates.groupBy(*keys).agg(at("pa", "spaced").alias("pa"), at("fta", "spaced").alias("fta"), *named)
+    parts = [grouping(spaced, keys), by_level, edit_distance(spaced, keys), granularity(spaced, keys)]
     if with_silhouette:
-        parts.append(silhouette(spaced, keys))
-    for level in T.LEVELS:
-        p = pair_counts(at_level(rows, level), keys)
-        parts += [accuracy(p, keys).withColumnRenamed("pa", f"pa_{level}"), template_f1(p, keys).withColumnRenamed("fta", f"fta_{level}")]
+        of = with_overall(rows, dataset) if dataset else rows
+        parts.append(silhouette(at_level(of, "spaced"), keys))
     out = reduce(lambda a, b: a.join(b, keys, "left") if keys else a.crossJoin(b), parts)
     if not with_silhouette:
         out = out.withColumn("pmss", F.lit(0.0))

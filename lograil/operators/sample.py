@@ -11,9 +11,11 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lograil.shipping import ensure_shipped
+
 
 def _sets(messages: list[str]) -> list[set[str]]:
     return [set(m.split()) for m in messages]
@@ -207,15 +209,34 @@ def sampler(name: str):
     return SAMPLERS[name]
 
 
-def sample_clusters(clustered: DataFrame, name: str, count: int, cluster: str = "cluster", message: str = "message", order: str = "id", seed: int = 0) -> DataFrame:
-    """cluster, rank, message: the sample of each cluster. Messages enter distinct, in the order of their first copy."""
+#: Messages of a cluster that a sampler sees at most, where it has no such setting of its own.
+POOLS = {"DPPSampler": 100, "AdaptiveSampler": 200, "SimilarSampler": 1000}
+
+
+def options(settings) -> dict:
+    """What the settings of the batch method say to their sampler."""
+    if settings.sampler == "DPPSampler":
+        return {"kernel": "tfidf" if settings.dpp_kernel_mode == "original" else "embedding", "pool": settings.dpp_pool, "longest": settings.embedding_length}
+    return {"mode": settings.similar_sampler_mode} if settings.sampler == "SimilarSampler" else {}
+
+
+def sample_clusters(clustered: DataFrame, name: str, count: int, cluster: str = "cluster", message: str = "message", order: str = "id", seed: int = 0, **more) -> DataFrame:
+    """cluster, rank, message: the sample of each cluster. Messages enter distinct, in the order of their first copy.
+
+    Of a large cluster a pool comes to the sampler, by a hash of seed and message: each partition keeps its share before anything moves, so no
+    cluster is ever gathered.
+    """
     choose = sampler(name)
+    ensure_shipped(clustered.sparkSession)
+    pool = more.get("pool") or more.get("most") or POOLS.get(name, count)
     kind = clustered.schema[cluster].dataType.simpleString()
     distinct = clustered.groupBy(cluster, message).agg(F.min(order).alias("_o"))
+    turn = F.row_number().over(Window.partitionBy(cluster).orderBy(F.xxhash64(F.lit(seed), message), message))
+    pooled = distinct.withColumn("_t", turn).where(F.col("_t") <= pool).drop("_t")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         messages = rows.sort_values("_o")[message].tolist()
-        picked = [messages[i] for i in choose(messages, count, seed)]
+        picked = [messages[i] for i in choose(messages, count, seed, **more)]
         return pd.DataFrame({cluster: [key[0]] * len(picked), "rank": range(1, len(picked) + 1), message: picked})
 
-    return distinct.groupBy(cluster).applyInPandas(run, f"`{cluster}` {kind}, rank int, `{message}` string")
+    return pooled.groupBy(cluster).applyInPandas(run, f"`{cluster}` {kind}, rank int, `{message}` string")

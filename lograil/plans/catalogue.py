@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from lograil.functions import text as T
 from lograil.operators import align, cluster, drain, match, memory, merge, metrics, sample
 from lograil.plans import grok, pipelines
-from lograil.schema import dataset_key
+from lograil.schema import BatchSettings, dataset_key
 from lograil.sources.readers import record
+from lograil.storage import new_path
 
 FLAGSHIP = "metrics_by_segment"
 
@@ -199,11 +200,29 @@ def pmss(spark, d):
     return _rounded(metrics.silhouette(metrics.at_level(aligned(spark, d), "spaced"), ["segment"]))
 
 
-@query(_with("SELECT segment, round(ga, 9) AS ga, round(fga, 9) AS fga, round(pa, 9) AS pa, round(fta, 9) AS fta, round(ed, 9) AS ed, round(ned, 9) AS ned, round(ggd, 9) AS ggd, round(pgd, 9) AS pgd, round(pmss, 9) AS pmss FROM ga JOIN pa USING (segment) JOIN fta USING (segment) JOIN ed USING (segment) JOIN gd USING (segment) JOIN pg USING (segment) JOIN pm USING (segment)", GROUPING, PA, FTA, ED, GD, PMSS))
+_LEVEL = {
+    "raw": "{0}",
+    "spaced": SPACED,
+    "lowercase": f"lower({SPACED})",
+    "regex_clean": f"lower(regexp_replace({SPACED}, '[.\\s,:;()\\[\\]{{{{}}}}|]+$', ''))",
+}
+_RATES = ",\n".join(
+    f"""x_{lv} AS (SELECT segment, {sql.format('gt')} AS gt, {sql.format('parsed')} AS parsed FROM (SELECT unnest(['Overall', ds]) AS segment, gt, parsed FROM logs)),
+ a_{lv} AS (SELECT segment, avg((gt = parsed)::INT) AS pa FROM x_{lv} GROUP BY segment),
+ f_{lv} AS (SELECT segment, 2e0 * sum(g * p) / (sum(g) + sum(p)) AS fta FROM (SELECT segment, t, max(g) AS g, max(p) AS p FROM (SELECT segment, gt AS t, 1 AS g, 0 AS p FROM x_{lv} UNION ALL SELECT segment, parsed, 0, 1 FROM x_{lv}) GROUP BY ALL) GROUP BY segment)"""
+    for lv, sql in _LEVEL.items()
+)
+_RATE_COLUMNS = ", ".join(f"round(a_{lv}.pa, 9) AS pa_{lv}, round(f_{lv}.fta, 9) AS fta_{lv}" for lv in T.LEVELS)
+_RATE_JOINS = " ".join(f"JOIN a_{lv} USING (segment) JOIN f_{lv} USING (segment)" for lv in T.LEVELS)
+_NAMES = ("ga", "fga", "pa", "fta", "ed", "ned", "ggd", "pgd", "pmss")
+_METRICS = ", ".join(f"round({k}.{c}, 9) AS {c}" for c, k in zip(_NAMES, ("ga", "ga", "pa", "fta", "ed", "ed", "gd", "pg", "pm"), strict=True))
+_METRIC_JOINS = "ga JOIN pa USING (segment) JOIN fta USING (segment) JOIN ed USING (segment) JOIN gd USING (segment) JOIN pg USING (segment) JOIN pm USING (segment)"
+
+
+@query(_with(f"SELECT segment, {_METRICS}, {_RATE_COLUMNS} FROM {_METRIC_JOINS} {_RATE_JOINS}", GROUPING, PA, FTA, ED, GD, PMSS, _RATES))
 def metrics_by_segment(spark, d):
-    """All metrics by segment."""
-    out = metrics.bundle(aligned(spark, d), ["segment"])
-    return _rounded(out.select("segment", "ga", "fga", "pa", "fta", "ed", "ned", "ggd", "pgd", "pmss"))
+    """All metrics by segment, pa and fta on all levels."""
+    return _rounded(metrics.bundle(logs(spark, d).select("ds", "content", "gt", "parsed"), ["segment"], dataset="ds"))
 
 
 @query(_with("""SELECT round(coalesce(corr(x, y), 0), 9) AS rho FROM (SELECT rank() OVER (ORDER BY round(pa, 9)) + (count(*) OVER (PARTITION BY round(pa, 9)) - 1) / 2e0 AS x, rank() OVER (ORDER BY round(ned, 9)) + (count(*) OVER (PARTITION BY round(ned, 9)) - 1) / 2e0 AS y FROM pa JOIN ed USING (segment))""", PA, ED))
@@ -451,37 +470,44 @@ def historical_variables(spark, d):
     return memory.variable_candidates(rows).select(value.alias("value"), F.col("first._o").alias("seq"))
 
 
-@query()
+def _lines(spark: SparkSession, d: str, *more: Column) -> DataFrame:
+    return logs(spark, d).select(F.col("line_id").alias("id"), F.col("content").alias("message"), "seq", *more)
+
+
+@query(f"WITH {LOGS}, m AS (SELECT {MASKED.format('content')} AS template, content, seq FROM logs) SELECT template, 'new' AS tier, count(*) AS n FROM m GROUP BY 1")
 def route_method(spark, d):
-    """Dictionary routing from an empty dictionary: templates, how they came, rows."""
-    base = logs(spark, d).select(F.col("line_id").alias("id"), F.col("content").alias("message"), "seq")
-    parsed, _ = pipelines.route(base, spark.createDataFrame([], "template string, seq long"))
-    return parsed.groupBy("template", "tier").agg(F.count("*").alias("n"))
+    """Dictionary routing from an empty dictionary: templates, how they came, rows. In one batch all that is new comes from the source."""
+    done = pipelines.route(_lines(spark, d), spark.createDataFrame([], pipelines.DICTIONARY))
+    return done.rows.groupBy("template", "tier").agg(F.count("*").alias("n"))
 
 
-@query()
+_BATCHED = """WITH RECURSIVE {logs}, t AS (SELECT content AS message, min(seq) AS seq FROM logs GROUP BY 1), f AS (SELECT seq // 10000 AS batch, {masked} AS masked, min(seq) AS id, count(*) AS n FROM (SELECT message AS content, seq FROM t) GROUP BY ALL),
+w AS (SELECT *, list_distinct(string_split(lower(masked), ' ')) AS s FROM f),
+e AS (SELECT a.id AS a, b.id AS b FROM w a JOIN w b ON a.batch = b.batch AND a.id <> b.id AND 1 - len(list_intersect(a.s, b.s)) * 1e0 / len(list_distinct(list_concat(a.s, b.s))) <= 0.2e0 + 1e-12),
+r(a, b) AS (SELECT id, id FROM f UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a), c AS (SELECT a AS id, min(b) AS cluster, count(*) AS k FROM r GROUP BY a)
+SELECT f.masked AS template, CASE WHEN c.k > 1 OR f.n > 1 THEN 'cluster' ELSE 'masked' END AS tier, count(*) AS n
+FROM logs JOIN t ON t.message = logs.content JOIN f ON f.batch = t.seq // 10000 AND f.masked = {masked} JOIN c ON c.id = f.id GROUP BY ALL""".format(logs=LOGS, masked=MASKED.format("content"))
+
+
+@query(_BATCHED)
 def batch_method(spark, d):
-    """Micro-batched clustering: templates, how they came, rows."""
-    base = logs(spark, d).select(F.col("line_id").alias("id"), F.col("content").alias("message"), "seq")
-    return pipelines.cluster_batches(base).groupBy("template", "tier").agg(F.count("*").alias("n"))
+    """Micro-batched clustering: templates, how they came, rows. Forms of one event differ in no word, so a cluster's template is its form."""
+    s = BatchSettings(buffer_size=10_000, clusterer="SimilarityCluster")
+    return pipelines.cluster_batches(_lines(spark, d), s).rows.groupBy("template", "tier").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"WITH {LOGS}, m AS (SELECT ds AS dataset, {MASKED.format('content')} AS template FROM logs) SELECT dataset, template, 'group' AS tier, count(*) AS n FROM m GROUP BY ALL")
 def tree_method(spark, d):
-    """Tree grouping with regex memory: templates, how they came, rows."""
-    base = logs(spark, d).select(F.col("line_id").alias("id"), F.col("content").alias("message"), F.col("ds").alias("dataset"), "seq")
-    return pipelines.tree_groups(base).groupBy("dataset", "template", "tier").agg(F.count("*").alias("n"))
+    """Tree grouping with regex memory: templates, how they came, rows. Each dataset's messages are one group, taken by one regex."""
+    return pipelines.tree_groups(_lines(spark, d, F.col("ds").alias("dataset"))).rows.groupBy("dataset", "template", "tier").agg(F.count("*").alias("n"))
 
 
 @query()
 def streaming_microbatch(spark, d):
     """The routing method as a stream over the events, until all are read: rows of each template."""
-    import uuid
-
-    from lograil.operators.cluster import shared_folder
     from lograil.streaming.microbatch import parse_stream
 
-    place = f"{shared_folder(spark)}/lograil-stream-{uuid.uuid4().hex}"
+    place = new_path(spark, "stream")
     schema = table(spark, d, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events.parquet*")
     content: Column = F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" did "), F.col("event_type"))

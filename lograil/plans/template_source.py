@@ -13,11 +13,17 @@ from lograil.functions import imperative as I
 from lograil.functions import text as T
 
 WILD = T.WILD
+#: What a source counts.
+USAGE = ("llm_invocations", "prompt_tokens", "completion_tokens", "failed_invocations")
 
 
 class TemplateSource:
     """template: of some messages; same_event and unify: of two templates."""
 
+    def recorded(self) -> list[dict]:
+        """Questions and answers since the last call, if the source keeps a record."""
+        return []
+
     def template(self, messages: list[str]) -> str:
         raise NotImplementedError
 
@@ -65,23 +71,37 @@ class Fixed(TemplateSource):
 
 @dataclass
 class Asked(TemplateSource):
-    """A model. ask: chat messages -> (answer, prompt tokens, completion tokens); it may fail, and is then asked once more."""
+    """A model. ask: chat messages -> (answer, prompt tokens, completion tokens); it may fail, and is then asked once more.
+
+    `usage` grows wherever the source runs; plans bring what it counted back as columns, and with `record` the questions and answers too.
+    `examples` (messages -> (message, template) pairs) and `prompt` decide what the model is shown.
+    """
 
     ask: Callable[[list[dict]], tuple[str, int, int]]
     prompt: Callable[[list[str]], list[dict]]
-    usage: dict = field(default_factory=lambda: {"llm_invocations": 0, "prompt_tokens": 0, "completion_tokens": 0, "failed_invocations": 0})
+    usage: dict = field(default_factory=lambda: dict.fromkeys(USAGE, 0))
+    record: bool = False
+    _calls: list[dict] = field(default_factory=list)
+
+    def recorded(self) -> list[dict]:
+        calls, self._calls = self._calls, []
+        return calls
 
     def _answer(self, messages: list[dict]) -> str:
         for last in (False, True):
             try:
                 text, p, c = self.ask(messages)
-            except Exception:
+            except Exception as e:
+                if self.record:
+                    self._calls.append({"request": messages, "error": str(e)})
                 if last:
                     self.usage["failed_invocations"] += 1
                     raise
                 continue
             for k, v in (("llm_invocations", 1), ("prompt_tokens", p), ("completion_tokens", c)):
                 self.usage[k] += v
+            if self.record:
+                self._calls.append({"request": messages, "response": text, "prompt_tokens": p, "completion_tokens": c})
             return text
         raise AssertionError
 
@@ -97,6 +117,30 @@ class Asked(TemplateSource):
         return I.plain_answer(self._answer([{"role": "user", "content": question}]))
 
 
+class Memoised:
+    """An embedding function that asks its model once for each text."""
+
+    def __init__(self, embed: Callable[[str], list[float]]):
+        self.embed, self.known = embed, {}
+
+    def __call__(self, text: str):
+        if text not in self.known:
+            self.known[text] = self.embed(text)
+        return self.known[text]
+
+
+def shots(pool: list[tuple[str, str]], message: str, count: int = 3, strategy: str = "similarity") -> list[tuple[str, str]]:
+    """Examples (message, template) of a pool for a question: those most like the message, or a choice unlike each other."""
+    from lograil.operators.sample import diverse_examples, jaccard_matrix
+
+    if strategy not in ("similarity", "diversity"):
+        raise ValueError(f"no such choice of examples: {strategy}")
+    if strategy == "diversity":
+        return [pool[i] for i in diverse_examples([m for m, _ in pool], count)]
+    far = jaccard_matrix([message, *(m for m, _ in pool)])[0, 1:]
+    return [pool[i] for i in far.argsort(kind="stable")[:count]]
+
+
 def categories_prompt(message: str, shots: list[tuple[str, str]], categories: str = "ecs_3", plain: bool = False) -> list[dict]:
     """A question about one message with tagged variables; shots: (message, template). plain: a template alone is wanted, not JSON."""
     tags = ", ".join(T.CATEGORIES[categories])

@@ -34,6 +34,8 @@ class RouterSettings:
     decay: float = 0.15
     merge_threshold: float = 0.95
     merge_mode: str = "production"
+    merge_prefilter: float = 0.3
+    prompt_mode: str = "production"
     match_mode: str = "production"
     capacity: int = 1000
     max_age_days: int = 30
@@ -60,6 +62,12 @@ class BatchSettings:
     dynamic_eps: bool = False
     noise_mode: str = "production"
     cache_mode: str = "production"
+    postprocess_mode: str = "production"
+    prompt_mode: str = "production"
+    similar_sampler_mode: str = "production"
+    dpp_kernel_mode: str = "production"
+    batch_truncation_mode: str = "production"
+    embedding_length: int | None = 4000
     history_cap: int | None = 100
 
 
@@ -99,11 +107,30 @@ PRESET_LARGE = {
 }
 
 
-def load_settings(path: str | None = None, fallback: str | None = None) -> Settings:
-    """Settings of a YAML file: of `path`, of `fallback` if that is missing, or the defaults if there is neither."""
+def load_settings(path: str | None = None, fallback: str | None = None, env: dict[str, str] | None = None, prefix: str = "LOGRAIL_") -> Settings:
+    """Settings of a YAML file: of `path`, of `fallback` if that is missing, or the defaults if there is neither.
+
+    Variables of `env` (a process's environment) named by prefix, section and name, LOGRAIL_BATCH_SAMPLER say, win over the file.
+    """
+    values: dict = {}
     for p in (path, fallback):
         if p and Path(p).exists():
             import yaml
 
-            return Settings.from_dict(yaml.safe_load(Path(p).read_text(encoding="utf-8")) or {})
-    return Settings()
+            values = yaml.safe_load(Path(p).read_text(encoding="utf-8")) or {}
+            break
+    for f in fields(Settings):
+        for x in fields(f.default_factory):
+            text = (env or {}).get(f"{prefix}{f.name}_{x.name}".upper())
+            if text is not None:
+                values[f.name] = {**(values.get(f.name) or {}), x.name: _parsed(text, x.default)}
+    return Settings.from_dict(values)
+
+
+def _parsed(text: str, default):
+    """A variable's text as the kind of value that a setting has; an empty one is none."""
+    if text == "":
+        return None
+    if isinstance(default, bool):
+        return text.strip().lower() in ("1", "true", "yes")
+    return type(default)(text) if isinstance(default, (int, float)) else int(text) if default is None and text.lstrip("-").isdigit() else text

@@ -12,12 +12,12 @@ from pyspark.sql import SparkSession
 _shipped: set[str] = set()
 
 
-def ensure_shipped(spark: SparkSession) -> None:
-    """Sends the package to the executors once for each application.
+def ensure_shipped(spark: SparkSession | None = None) -> None:
+    """Sends the package to the executors once for each application; called wherever a plan gets a Python function.
 
     Spark's own file server carries the archive, so it works where driver and executors share no folder.
     """
-    sc = spark.sparkContext
+    sc = (spark or SparkSession.active()).sparkContext
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))

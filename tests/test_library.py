@@ -309,9 +309,8 @@ def test_memories(spark):
     r = memory.RegexMemory()
     assert r.add("user (.*?) in", "user bob in") and not r.add("user (.*?) in", "user bob in") and not r.add("(.*?)", "x") and not r.add("user (.*?) out", "user bob in")
     assert r.find("user eve in") == "user (.*?) in" and r.find("nothing") is None
-    f = memory.FifoMemory(2)
-    [f.add(k) for k in range(3)]
-    assert list(f.entries) == [1, 2]
+    some = spark.createDataFrame([(k,) for k in range(3)], "seq long")
+    assert sorted(x["seq"] for x in memory.fifo(some, 2).collect()) == [1, 2] and memory.fifo(some, None).count() == 3
     proposed = spark.createDataFrame([("a (.*?) bcd", "a x bcd", 1), ("(.*?)", "x", 2), ("zzz", "y", 3)], "regex string, message string, seq long")
     assert [x["regex"] for x in memory.admit_regexes(proposed).collect()] == ["a (.*?) bcd"]
 
@@ -385,21 +384,6 @@ def logs_of(spark, messages):
     return spark.createDataFrame([(f"d_{k}", m, "d", k) for k, m in enumerate(messages)], "id string, message string, dataset string, seq long")
 
 
-def test_three_methods(spark):
-    logs = logs_of(spark, [f"User {n} logged in" for n in ("1", "2", "3")] * 2 + ["disk 5 is full", "disk 6 is full", "quite another thing"])
-    parsed, grown = pipelines.route(logs, templates_of(spark, "quite another thing"))
-    got = {(r["template"], r["tier"]) for r in parsed.collect()}
-    assert got == {("User <*> logged in", "new"), ("disk <*> is full", "new"), ("quite another thing", "strict")} and grown.count() == 3
-    again, _ = pipelines.route(logs, grown)
-    assert {r["tier"] for r in again.collect()} == {"strict"}
-    for how in ("SimilarityCluster", "LengthCluster"):
-        assert pipelines.cluster_batches(logs, clusterer=how).count() == 9
-    tree = {r["message"]: (r["template"], r["tier"]) for r in pipelines.tree_groups(logs).collect()}
-    assert tree["User 1 logged in"] == ("User <*> logged in", "group") and tree["quite another thing"] == ("quite another thing", "constant")
-    known = spark.createDataFrame([("disk (.*?) is full", 4, 0)], "regex string, wc int, seq int")
-    assert {r["tier"] for r in pipelines.tree_groups(logs, known).where("message LIKE 'disk%'").collect()} == {"memory"}
-
-
 def test_sources_of_templates():
     calls = []
 
