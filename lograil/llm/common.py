@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
-import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,48 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from lograil.shipping import ensure_shipped
+from lograil.storage import discard, materialize, new_path
+
+__all__ = ["append_columns", "digest64", "discard", "fresh", "heavy_limit", "join_heavy", "map_batches", "materialize", "new_path", "table"]
 
-_own_dir: list[str] = []
-_paths: dict = {}
 #: Rows that a Python function gets at a time: what bounds a worker's memory.
 ROWS_AT_ONCE = 1000
 
 
-def scratch(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared
-    if not _own_dir:
-        _own_dir.append("file://" + tempfile.mkdtemp(prefix="lograil-"))
-    return _own_dir[0]
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back.
-
-    It cuts the lineage as checkpoint() does, but runs the plan once, and a lost executor costs no more than a re-read.
-    """
-    path = f"{scratch(df.sparkSession)}/lograil-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    _paths[id(out)] = (weakref.ref(out), path)
-    return out
-
-
-def discard(*frames: DataFrame) -> None:
-    """Deletes the tables of materialized frames that no plan will read again, and lets Spark drop shuffles that nothing refers to."""
-    for df in frames:
-        ref, path = _paths.pop(id(df), (None, ""))
-        if ref is not None and ref() is df:
-            jvm = df.sparkSession.sparkContext._jvm
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-    if frames:
-        gc.collect()
-        frames[0].sparkSession.sparkContext._jvm.System.gc()
-
-
 def fresh(columns: list[str], name: str) -> str:
     """name, with underscores before it until no column is called so in any letter case."""
     taken = {c.lower() for c in columns}
@@ -107,6 +69,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def heavy_limit(spark: SparkSession, rows: int) -> int:
+    """Rows of one key beyond which it is heavy: what a shuffle partition holds on average, so no more keys are heavy than there are partitions."""
+    return max(1000, rows // max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
+
+
+def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, limit: int) -> DataFrame:
+    """left joined with the one row that right has for each key (keys that right lacks go), heavy keys without a shuffle.
+
+    counts: keys and `rows`, how many of left's rows a key has, or more. Rows of keys with more than `limit` meet theirs by a broadcast of at
+    most rows(left) / limit rows; all others are shuffled. So no task gets more than its share, whatever one key holds.
+    """
+    heavy = F.broadcast(counts.where(F.col("rows") > limit).select(*keys))
+    light = left.join(heavy, keys, "left_anti").join(right, keys)
+    return light.unionByName(left.join(F.broadcast(right.join(heavy, keys, "left_semi")), keys))
+
+
 def digest64(*columns: str):
     """A 64-bit value of some columns, nulls apart from empty texts."""
     return F.xxhash64(*columns, *(F.col(c).isNull() for c in columns))

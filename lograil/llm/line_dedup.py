@@ -1,18 +1,23 @@
 """Line dedup by a log-template tree.
 
-Each line is parsed down a tree of fixed depth: its number of tokens, then its LEAD leading tokens, then a template leaf. Tokens that look
-like variable fields (they hold a digit, an @ or ://) become a wildcard first, also on the way down. In the leaf a line's remaining
-tokens fall into two halves; a template fixes one half and generalises the other, whatever varies there, so lines that differ in the
-fields of one half share a template. Lines of fewer than LONG tokens have one template, the masked line itself: half of so few tokens would
-say too little.
+Each line is parsed down a tree of fixed depth. Level 1 is its number of tokens, level 2 its LEAD leading tokens; tokens that look like
+variable fields (they hold a digit, an @ or ://) are a wildcard already on the way down. In the leaf the tokens behind the lead fall into at
+most PARTS parts of equal size (single tokens while there are no more of them). A template fixes all parts but a few, and generalises these:
+one part of a line of 5 to 9 tokens, two parts of a longer one, none of a shorter one (tokens / 5, at most 2). So two lines are instances of one template if
+they have the same number of tokens and the same lead and differ in no more than about a fifth of the line. Blank lines and lines of wildcards alone have no template.
 
-A template recurs if lines of at least two documents have it. The document with the smallest id keeps its lines of a recurring template, and
-all other documents lose theirs. With `short_lines` (the pipeline) lines of fewer than SHORT tokens have one template too, the masked line
-itself, except blank lines and lines of wildcards alone; without it (op4, as its SQL says) they are never dropped. Which templates a line has depends on the line alone, so
-the tree needs no order, the counts are plain aggregates of numbers, and no leaf is gathered anywhere.
+A template recurs if lines of at least two documents are instances of it. The document with the smallest id keeps its instances, and
+all other documents lose theirs. Which templates a line has depends on the line alone, so the tree needs no order and all counts are
+plain aggregates of numbers. Equal lines are one node; only nodes whose leaf holds another node are generalised at all. Not found is what
+varies in the lead, or in more parts than may vary.
+
+With `leave_copies` (the pipeline, whose next stage is for whole documents) a document most of which is in one earlier document is a copy
+and no document with boilerplate: of the lines that a template's first document has kept, those that come from its one best partner stay,
+if they are at least COPY of what it would keep with them, and of what the partner keeps.
 
 A null text stays null, an empty one empty; a document may lose all its lines and is then an empty text; no document is dropped. Rows of one id
 are one document. Rows without an id are documents told apart by their texts, and come after all ids. An empty table has an empty result.
+Columns of any name are carried through.
 """
 
 from __future__ import annotations
@@ -22,12 +27,13 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, map_batches, materialize, table
+from .common import discard, fresh, heavy_limit, join_heavy, map_batches, materialize, table
 
-SHORT, LEAD, LONG = 5, 3, 10
+LEAD, PARTS = 3, 10
+COPY = 0.8
 WILD = "<*>"
 NO_ID = 1 << 62
 _FIELD = re.compile(r"[0-9@]|://")
@@ -42,78 +48,153 @@ def tokens_of(line: str) -> list[str]:
     return tokens
 
 
-def templates_of(line: str, short_lines: bool = False) -> list[str]:
-    """The keys of the templates that a line has: none if it is too short, or with short_lines, if it is short and says nothing."""
-    tokens = tokens_of(line)
-    n = len(tokens)
-    if n < SHORT and not (short_lines and any(t != WILD for t in tokens)):
-        return []
-    if n < LONG:
-        return [f"{n} " + " ".join(tokens)]
-    half = LEAD + (n - LEAD) // 2
-    lead = " ".join(tokens[:LEAD])
-    return [f"{n} {lead} | {' '.join(tokens[LEAD:half])} | {WILD}", f"{n} {lead} | {WILD} | {' '.join(tokens[half:])}"]
+def parts_of(tokens: list[str]) -> list[list[str]]:
+    """What stands behind the lead, in parts."""
+    rest = tokens[LEAD:]
+    k = min(PARTS, len(rest))
+    return [rest[j * len(rest) // k : (j + 1) * len(rest) // k] for j in range(k)]
+
+
+def free_parts(n: int) -> int:
+    """How many parts a template of n tokens generalises."""
+    return min(2, n // 5)
+
 
+def _digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
 
-def _parse(short_lines: bool):
-    digest = xxhash.xxh3_64_intdigest
+
+def _parse():
+    """(leaf, node, n, parts, o, h, place) of each line that has a template; parts: hashes of the parts, none of a line without free ones."""
 
     def fn(b):
-        for lo in range(0, b.num_rows, 500):
-            part = b.slice(lo, 500)
-            row, place, keys = [], [], []
+        for lo in range(0, b.num_rows, 250):
+            part = b.slice(lo, 250)
+            row, place, leaf, node, n, parts, ends = [], [], [], [], [], [], [0]
             for i, text in enumerate(part.column("_t").to_pylist()):
                 for k, line in enumerate(text.split("\n")) if text else ():
-                    for t in templates_of(line, short_lines):
-                        row.append(i)
-                        place.append(k)
-                        keys.append(digest(t.encode("utf-8", "surrogatepass")))
+                    tokens = tokens_of(line)
+                    if all(t == WILD for t in tokens):
+                        continue
+                    size = len(tokens)
+                    row.append(i)
+                    place.append(k)
+                    n.append(size)
+                    leaf.append(_digest(f"{size} {' '.join(tokens[:LEAD])}"))
+                    if size < 5:
+                        node.append(_digest(" ".join(tokens)))
+                    else:
+                        own = [_digest(" ".join(p)) for p in parts_of(tokens)]
+                        parts += own
+                        node.append(xxhash.xxh3_64_intdigest(np.array(own, np.uint64).tobytes()))
+                    ends.append(len(parts))
             at = pa.array(row, pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, dtype=np.uint64).view(np.int64)), part.column("_o").take(at), part.column("_h").take(at), pa.array(place, pa.int32())], names=["template", "o", "h", "place"])
+            longs = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), longs(parts))
+            columns = [longs(leaf), longs(node), pa.array(n, pa.int32()), lists, part.column("_o").take(at), part.column("_h").take(at), pa.array(place, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["leaf", "node", "n", "parts", "o", "h", "place"])
 
     return fn
 
 
-def _order(id_col: str, text_col: str):
-    """Ids as they are; without one, a number beyond them that the text decides."""
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text_col), 3))
+_LINES = "leaf long, node long, n int, parts array<long>, o long, h long, place int"
 
 
-def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_lines: bool = False) -> DataFrame:
+def _order(id_col: str | Column, text_col: str | Column) -> Column:
+    """Ids as they are; without one, a number beyond them that the text decides."""
+    one = F.col(id_col) if isinstance(id_col, str) else id_col
+    return F.coalesce(one.cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text_col), 3))
+
+
+def _forms() -> Column:
+    """The keys of a node's templates that generalise parts (columns leaf, n, parts): one for each choice of the free parts."""
+    k = F.size("parts")
+
+    def form(i: Column, j: Column) -> Column:
+        return F.xxhash64("leaf", i, j, F.transform("parts", lambda p, at: F.when((at == i) | (at == j), F.lit(0).cast("long")).otherwise(p)))
+
+    one = F.transform(F.sequence(F.lit(0), k - 1), lambda i: form(i, F.lit(-1)))
+    two = F.flatten(F.transform(F.sequence(F.lit(0), k - 2), lambda i: F.transform(F.sequence(i + 1, k - 1), lambda j: form(i, j))))
+    return F.when(F.col("n") < 10, one).otherwise(two)
+
+
+def _heads(lines: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """leaf, node, head: of each node that recurs, the first document of its templates; and leaf, node, rows: how many lines a node has."""
+    same = ["leaf", "node"]
+    nodes = materialize(lines.groupBy(*same).agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count("*").alias("rows")), "line-nodes")
+    shared = nodes.groupBy("leaf").agg(F.count("*").alias("k"), F.sum("rows").alias("rows")).where("k > 1")
+    # A leaf's lines are as many as one leaf holds, so those of heavy leaves meet their leaf by a broadcast.
+    several = shared.select("leaf", "rows")
+    inside = join_heavy(lines.where("n >= 5").select(*same, "n", "parts"), several.select("leaf"), ["leaf"], several, limit)
+    open_ = inside.groupBy(*same).agg(F.any_value("n").alias("n"), F.any_value("parts").alias("parts")).join(nodes, same)
+    forms = materialize(open_.select(*same, "first", "last", F.explode(_forms()).alias("form")), "line-forms")
+    tops = forms.groupBy("form").agg(F.min("first").alias("head"), F.max("last").alias("end"), F.count("*").alias("rows"))
+    tops = materialize(tops.where("rows > 1 AND head < end"), "line-tops")
+    general = join_heavy(forms.select(*same, "form"), tops.select("form", "head"), ["form"], tops.select("form", "rows"), limit)
+    found = nodes.where("first < last").select(*same, F.col("first").alias("head")).unionByName(general.select(*same, "head"))
+    least = found.groupBy(*same).agg(F.min("head").alias("head")).join(nodes.select(*same, "last"), same).where("head < last")
+    return materialize(least.select(*same, "head"), "line-heads"), nodes.select(*same, "rows")
+
+
+def _copies(lines: DataFrame, lost: DataFrame) -> DataFrame:
+    """o, h, head: documents that are copies, and of which earlier document. Sizes are numbers of tokens."""
+    same = ["o", "h"]
+    every = lines.groupBy(*same).agg(F.sum("n").alias("all"))
+    by = lost.groupBy(*same, "head").agg(F.sum("n").alias("by"))
+    best = by.groupBy(*same).agg(F.sum("by").alias("gone"), F.max(F.struct("by", F.negative("head").alias("m"))).alias("b"))
+    kept = every.join(best, same, "left").select(*same, (F.col("all") - F.coalesce("gone", F.lit(0))).alias("kept"), F.col("b.by").alias("by"), F.negative("b.m").alias("head"))
+    partner = kept.groupBy(F.col("o").alias("head")).agg(F.max("kept").alias("theirs"))
+    alike = (F.col("by") >= COPY * (F.col("by") + F.col("kept"))) & (F.col("by") >= COPY * F.col("theirs"))
+    return kept.where("by IS NOT NULL").join(partner, "head").where(alike).select(*same, "head")
+
+
+def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leave_copies: bool = False) -> DataFrame:
     """o, h, places: by order and text hash of a document, the sorted numbers (from 0) of the lines that it loses."""
     slim = docs.select(_order(id_col, text_col).alias("_o"), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_t"))
-    lines = materialize(map_batches(slim, "template long, o long, h long, place int", lambda: _parse(short_lines)), "lines")
-    tree = lines.groupBy("template").agg(F.min("o").alias("first"), F.max("o").alias("last")).where("first <> last").select("template", "first")
-    lost = lines.join(tree, "template").where("o <> first").select("o", "h", "place")
+    lines = materialize(map_batches(slim, _LINES, _parse), "lines")
+    limit = heavy_limit(docs.sparkSession, lines.count())
+    heads, counts = _heads(lines, limit)
+    lost = join_heavy(lines.select("leaf", "node", "n", "o", "h", "place"), heads, ["leaf", "node"], counts, limit).where("o > head").select("o", "h", "place", "n", "head")
+    if leave_copies:
+        lost = materialize(lost, "line-lost")
+        spared = _copies(lines, lost).withColumnRenamed("head", "partner")
+        lost = lost.join(spared, ["o", "h"], "left").where("partner IS NULL OR head <> partner")
     return lost.groupBy("o", "h").agg(F.array_sort(F.collect_set("place")).alias("places"))
 
 
-def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_lines: bool = False) -> tuple[DataFrame, str]:
+def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leave_copies: bool = False) -> tuple[DataFrame, str]:
     """docs with recurring lines taken out of the texts and a column of the numbers of these lines, whose name is the second value."""
     name = fresh(docs.columns, "dropped_lines")
-    lost = recurring_lines(docs, id_col, text_col, short_lines)
-    mine = (_order(id_col, text_col) == lost["o"]) & (F.xxhash64(docs[text_col]) == lost["h"])
-    joined = docs.join(lost, mine, "left")
-    kept = F.array_join(F.filter(F.split(docs[text_col], "\n", -1), lambda x, i: ~F.array_contains("places", i)), "\n")
-    out = [F.when(F.col("places").isNull(), docs[c]).otherwise(kept).alias(c) if c == text_col else docs[c] for c in docs.columns]
-    return joined.select(*out, F.coalesce("places", F.array().cast("array<int>")).alias(name)), name
+    lost = recurring_lines(docs, id_col, text_col, leave_copies)
+    o, h, places = (fresh([*docs.columns, name], c) for c in ("_o", "_h", "_places"))
+    lost = lost.select(F.col("o").alias(o), F.col("h").alias(h), F.col("places").alias(places))
+    keyed = docs.withColumns({o: _order(id_col, text_col), h: F.xxhash64(text_col)})
+    joined = keyed.join(lost, [o, h], "left")
+    kept = F.array_join(F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains(places, i)), "\n")
+    out = [F.when(F.col(places).isNull(), F.col(f"`{c}`")).otherwise(kept).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*out, F.coalesce(places, F.array().cast("array<int>")).alias(name)), name
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_dropped, dropped_lines (numbers from 0, comma-joined), n_kept_chars, kept_sha256 of all documents."""
     out, name = drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.size(name).cast("long").alias("n_dropped"), F.array_join(F.col(name).cast("array<string>"), ",").alias("dropped_lines"), F.length("text").cast("long").alias("n_kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+    numbers = F.array_join(F.col(name).cast("array<string>"), ",").alias("dropped_lines")
+    return out.select("doc_id", F.size(name).cast("long").alias("n_dropped"), numbers, F.length("text").cast("long").alias("n_kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
 ORACLE_OP4 = r"""
 WITH l AS (SELECT doc_id, k - 1 AS place, string_split(text, chr(10))[k] AS line FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS k FROM documents)),
 t AS (SELECT doc_id, place, list_transform(list_filter(string_split_regex(line, '[ \t\r\x0b\x0c]+'), lambda x: x <> ''), lambda x: CASE WHEN regexp_matches(x, '[0-9@]|://') THEN '<*>' ELSE x END) AS w FROM l),
-p AS (
-  SELECT doc_id, place, 'all ' || array_to_string(w, ' ') AS tpl FROM t WHERE len(w) BETWEEN 5 AND 9
-  UNION ALL SELECT doc_id, place, 'a ' || len(w) || ' ' || array_to_string(w[1 : 3 + (len(w) - 3) // 2], ' ') FROM t WHERE len(w) >= 10
-  UNION ALL SELECT doc_id, place, 'b ' || len(w) || ' ' || array_to_string(w[1 : 3], ' ') || ' * ' || array_to_string(w[4 + (len(w) - 3) // 2 :], ' ') FROM t WHERE len(w) >= 10),
-f AS (SELECT tpl, min(doc_id) AS first FROM p GROUP BY tpl HAVING min(doc_id) <> max(doc_id)),
-x AS (SELECT DISTINCT doc_id, place FROM p JOIN f USING (tpl) WHERE doc_id <> first),
+w AS (SELECT doc_id, place, w, len(w) AS n, least(10, greatest(len(w) - 3, 0)) AS k, len(w) || ' ' || array_to_string(w[1 : 3], ' ') AS leaf FROM t WHERE len(list_filter(w, lambda x: x <> '<*>')) > 0),
+nodes AS (SELECT leaf, w, n, k, min(doc_id) AS first, max(doc_id) AS last FROM w GROUP BY ALL),
+leaves AS (SELECT leaf FROM nodes GROUP BY leaf HAVING count(*) > 1),
+parts AS (SELECT leaf, w, n, k, first, last, list_transform(range(0, k), lambda j: array_to_string(w[4 + j * (n - 3) // k : 3 + (j + 1) * (n - 3) // k], ' ')) AS p FROM nodes JOIN leaves USING (leaf) WHERE n >= 5),
+one AS (SELECT *, unnest(range(0, k)) AS i FROM parts),
+free AS (SELECT *, i AS j FROM one WHERE n < 10 UNION ALL SELECT * FROM (SELECT *, unnest(range(i + 1, k)) AS j FROM one WHERE n >= 10)),
+forms AS (SELECT leaf, w, first, last, leaf || '|' || i || '|' || j || '|' || array_to_string(list_transform(range(0, k), lambda x: CASE WHEN x = i OR x = j THEN '*' ELSE p[x + 1] END), '|') AS form FROM free),
+tops AS (SELECT form, min(first) AS head FROM forms GROUP BY form HAVING min(first) < max(last)),
+heads AS (SELECT leaf, w, min(head) AS head FROM (SELECT leaf, w, head FROM forms JOIN tops USING (form) UNION ALL SELECT leaf, w, first FROM nodes WHERE first < last) GROUP BY ALL),
+x AS (SELECT DISTINCT doc_id, place FROM w JOIN heads USING (leaf, w) WHERE doc_id > head),
 g AS (SELECT doc_id, count(*) AS n, string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) AS places FROM x GROUP BY doc_id),
 k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY place) AS kept FROM l WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.doc_id = l.doc_id AND x.place = l.place) GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_dropped, coalesce(places, '') AS dropped_lines, length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept, '') END) AS n_kept_chars,

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
-from . import decontamination, line_dedup, near_dup, neighbours, pieces, secrets, sharding, token_counts, token_files, toxicity
+from . import decontamination, line_dedup, near_dup, neighbours, pieces, pipeline, secrets, sharding, token_counts, token_files, toxicity
 
 
 def queries() -> dict:
@@ -19,7 +17,7 @@ def queries() -> dict:
         "op8_near_duplicates": near_dup.op8_near_duplicates,
         "op9_token_counts": token_counts.op9_token_counts,
         "op10_sharding": sharding.op10_sharding,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
     }
 
 

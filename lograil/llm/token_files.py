@@ -16,7 +16,6 @@ null ids come first. An empty table has an empty file set.
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, scratch, table
+from .common import map_batches, new_path, table
 from .word_bpe import encoder
 
 END_ID = 2
@@ -166,6 +165,6 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of all documents, read back from the files."""
     import public_tokenizers
 
-    path = f"{scratch(spark)}/lograil-tokens-{uuid.uuid4().hex}"
+    path = new_path(spark, "tokens")
     write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), str(public_tokenizers.path("word_bpe_49k.json")), path)
     return read_token_files(spark, path)
