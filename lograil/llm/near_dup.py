@@ -7,11 +7,12 @@ keys. Documents with equal sets are one node from the start.
 
 In each bucket the node that shares most buckets with others is the hub, and edges go from it to the other members: a star, so a
 bucket of n nodes has n - 1 edges. Every edge is confirmed on the full sets, and linked nodes join into components (large-star and
-small-star rounds). What a hub refused may still belong to something that the hub accepted. So, in buckets that then still hold
-several components, the members outside the largest one meet those of the other components, as far as three bounds allow a link:
-the sizes of the two sets and of what each has that no other set among these members has, the metric (Jaccard distance is one:
-|d(hub, x) - d(hub, y)| <= 1 - threshold), and one bit for each bin of the signature, at seven standard deviations. These pairs are confirmed as well, so that no two members of a bucket that are similar
-enough end in different components. No candidate is capped.
+small-star rounds). What a hub refused may still belong to something that the hub accepted. So the nodes of buckets that then still hold
+several components are indexed by their full sets: a node outside its bucket's largest component looks for partners with its rarest
+shingles, as many as must be missing for the similarity to fall below the threshold (those that no other of these nodes has are among
+them, and find nothing). Who shares none of them is surely no partner; of the others three bounds take out those that can't be linked: the sizes, the metric (Jaccard
+distance is one: |d(hub, x) - d(hub, y)| <= 1 - threshold), and sketches at seven standard deviations. These pairs are confirmed as well, so
+that no two members of a bucket that are similar enough end in different components. No candidate is capped.
 
 Null and empty texts have the empty set: n_shingles 0, linked with nothing. Repeated rows each have a result row. The component is
 named by its smallest id. Rows without an id link like others; a component in which no row has an id has a null name and a null
@@ -24,11 +25,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from .common import append_columns, discard, fresh, map_batches, materialize, table
+from .common import append_columns, discard, fresh, heavy_limit, join_heavy, map_batches, materialize, table
 from .components import connected_components
 
 WORDS, ROWS, BANDS = 5, 6, 32
@@ -161,54 +162,64 @@ def _sets(words: int):
                 sig = signature(s) if len(s) else None
                 n.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                bands.append(band_keys(sig).tobytes() if len(s) else None)
+                bands.append(band_keys(sig).view(np.int64).tolist() if len(s) else None)
                 bits.append(sketch(sig).tolist() if len(s) else None)
-            return [pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.binary()), pa.array(bits, pa.list_(pa.int64()))]
+            return [pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))]
 
         return fn
 
     return make
 
 
-def _explode_bands():
-    def fn(b):
-        n = b.num_rows
-        bands = np.frombuffer(b"".join(b.column("bands").to_pylist()), dtype=np.int64)
-        nid = b.column("nid").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(bands), pa.array(np.repeat(nid, len(bands) // n))], names=["bucket", "nid"])
-
-    return fn
+def _look(id_col: str, text: Column) -> Column:
+    """What a row is found again by: its id and the hash of its text as one number, nulls apart from empty texts."""
+    return F.xxhash64(id_col, F.col(id_col).isNull(), text)
 
 
 def _with_texts(wanted: DataFrame, docs: DataFrame, each: int) -> DataFrame:
-    """wanted (of, key, doc, roles) with the texts of the ids in `doc`; each: bytes of one entry of roles.
+    """wanted (of, key, look, roles) with the texts of the rows that `look` names; each: bytes of one entry of roles.
 
-    The wanted rows go to all scans while they are small (64 MB at most); beyond that Spark shuffles both sides by id.
+    The wanted rows go to all scans while they are small (64 MB at most); beyond that Spark shuffles both sides by `look`.
     """
     small = wanted.agg(F.count("*").alias("n"), F.sum(F.size("roles")).alias("k")).first()
     ids = F.broadcast(wanted) if small["n"] * 48 + (small["k"] or 0) * each <= 64 << 20 else wanted
-    return docs.join(ids, docs["_id"].eqNullSafe(ids["doc"])).select("_text", "key", "of", "roles")
+    return docs.select("_text", _look("_id", F.xxhash64("_text")).alias("look")).join(ids, "look").select("_text", "key", "of", "roles")
+
+
+class _Once:
+    """The sets of wanted nodes, each once in a task however many rows are copies of it."""
 
+    def __init__(self, words: int):
+        self.words, self.seen = words, set()
 
-def _alone(chosen: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
-    """nid, u, fine, bands, and the written table that this comes from: how many shingles of a chosen node no other chosen node has, its fine sketch, its buckets in order."""
-    wanted = materialize(chosen.join(nodes.select("nid", "key", "doc"), "nid").select(F.col("nid").alias("of"), "key", "doc", F.array().cast("array<int>").alias("roles")), "near-wanted")
+    def of(self, text: str | None, key: bytes, node: int) -> np.ndarray | None:
+        if node in self.seen:
+            return None
+        s = shingle_set(text, self.words)
+        if hashlib.blake2b(s.tobytes(), digest_size=16).digest() != key:
+            return None  # another row whose number is the same by chance
+        self.seen.add(node)
+        return s
+
+
+def _full_sets(chosen: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """nid, h, fine: the shingles and the fine sketch of each chosen node."""
+    wanted = materialize(chosen.join(nodes.select("nid", "key", "look"), "nid").select(F.col("nid").alias("of"), "key", "look", F.array().cast("array<int>").alias("roles")), "near-wanted")
 
     def emit():
+        once = _Once(words)
+
         def fn(b):
             for text, key, of in zip(b.column("_text"), b.column("key").to_pylist(), b.column("of").to_pylist(), strict=True):
-                s = shingle_set(text.as_py(), words)
-                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == key:
-                    yield pa.RecordBatch.from_arrays([pa.array([of]), pa.array([s.view(np.int64)], pa.list_(pa.int64())), pa.array([fine_sketch(s)], pa.list_(pa.int64())), pa.array([band_keys(signature(s)).view(np.int64)], pa.list_(pa.int64()))], names=["nid", "h", "fine", "bands"])
+                s = once.of(text.as_py(), key, of)
+                if s is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([of]), pa.array([s.view(np.int64)], pa.list_(pa.int64())), pa.array([fine_sketch(s)], pa.list_(pa.int64()))], names=["nid", "h", "fine"])
 
         return fn
 
-    sets = materialize(map_batches(_with_texts(wanted, docs, 0), "nid long, h array<long>, fine array<long>, bands array<long>", emit).dropDuplicates(["nid"]), "near-sets")
-    each = sets.select("nid", F.explode("h").alias("h"))
-    once = each.groupBy("h").agg(F.min("nid").alias("nid"), F.max("nid").alias("last")).where("nid = last").groupBy("nid").agg(F.count("*").alias("u"))
+    sets = materialize(map_batches(_with_texts(wanted, docs, 0), "nid long, h array<long>, fine array<long>", emit).dropDuplicates(["nid"]), "near-sets")
     discard(wanted)
-    lonely = materialize(sets.select("nid", "fine", "bands").join(once, "nid", "left").select("nid", "fine", "bands", F.coalesce("u", F.lit(0)).alias("u")), "near-alone")
-    return lonely, sets
+    return sets
 
 
 def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
@@ -221,17 +232,19 @@ def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) ->
     hot = edges.groupBy("hub").agg(F.count("*").alias("members"), F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
     salted = edges.join(hot, "hub").select("hub", "nid", F.pmod(F.xxhash64("nid"), F.col("salts")).cast("int").alias("salt"))
     roles = salted.select(F.col("nid").alias("of"), "hub", "salt", F.lit(1).alias("role")).unionByName(hot.select(F.col("hub").alias("of"), "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role")))
-    wanted = roles.groupBy("of").agg(F.collect_list(F.struct("hub", "salt", "role")).alias("roles")).join(nodes.select(F.col("nid").alias("of"), "key", "doc"), "of")
+    wanted = roles.groupBy("of").agg(F.collect_list(F.struct("hub", "salt", "role")).alias("roles")).join(nodes.select(F.col("nid").alias("of"), "key", "look"), "of")
     wanted = materialize(wanted, "near-wanted")
     with_text = _with_texts(wanted, docs, 24)
 
     def emit():
+        once = _Once(words)
+
         def fn(b):
             hub, salt, role, nid, sets = [], [], [], [], []
             for text, key, of, roles_ in zip(b.column("_text"), b.column("key").to_pylist(), b.column("of").to_pylist(), b.column("roles").to_pylist(), strict=True):
-                s = shingle_set(text.as_py(), words)
-                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() != key:
-                    continue  # another text under the same id
+                s = once.of(text.as_py(), key, of)
+                if s is None:
+                    continue
                 raw = s.tobytes()
                 for r in roles_:
                     hub.append(r["hub"])
@@ -281,12 +294,11 @@ def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) ->
     return tested
 
 
-def _allowed(a: str, b: str, percent: int):
-    """Whether sizes and sketches of two rows (columns n, s) allow the similarity."""
+def _allowed(n1: Column, s1: Column, n2: Column, s2: Column, percent: int) -> Column:
+    """Whether the sizes and sketches of two nodes allow the similarity."""
     t = percent / 100
-    n1, n2 = F.col(f"{a}.n"), F.col(f"{b}.n")
     small, large = F.least(n1, n2), F.greatest(n1, n2)
-    apart = sum((F.bit_count(F.col(f"{a}.s")[k].bitwiseXOR(F.col(f"{b}.s")[k])) for k in range(BINS // 64)), F.lit(0))
+    apart = sum((F.bit_count(s1[k].bitwiseXOR(s2[k])) for k in range(BINS // 64)), F.lit(0))
     mean = (1 - t) / 2
     # Copied bins count for less: half of the full ones are taken as independent.
     independent = (1 - F.exp(-small / float(BINS))) * (BINS / 2)
@@ -296,93 +308,102 @@ def _allowed(a: str, b: str, percent: int):
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """id, n_shingles, component_id, kept and text_hash of each row; rows link at 100 * |A n B| >= percent * |A u B|."""
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    fields = [StructField("n", LongType()), StructField("key", BinaryType()), StructField("bands", BinaryType()), StructField("s", ArrayType(LongType()))]
+    fields = [StructField("n", LongType()), StructField("key", BinaryType()), StructField("bands", ArrayType(LongType())), StructField("s", ArrayType(LongType()))]
     rows = materialize(append_columns(slim, ["_text"], fields, _sets(words)).withColumn("text_hash", F.xxhash64("_text")).drop("_text"), "near-rows")
-    nodes = rows.where(F.col("n") > 0).groupBy("key").agg(F.min("_id").alias("doc"), F.first(F.struct("n", "bands", "s")).alias("f"))
-    nodes = materialize(nodes.select("key", "doc", "f.*", F.monotonically_increasing_id().alias("nid")), "near-nodes")
-    slots = map_batches(nodes.select("nid", "bands"), "bucket long, nid long", _explode_bands)
-    sizes = slots.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = materialize(slots.join(sizes, "bucket"), "near-slots")
+    limit = heavy_limit(docs.sparkSession, rows.count())
+    # The row of the smallest id stands for its copies; without any id, that of the smallest text hash.
+    head = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "text_hash"))
+    nodes = rows.where(F.col("n") > 0).groupBy("key").agg(head.alias("r"), F.count("*").alias("rows"), F.first(F.struct("n", "bands", "s")).alias("f"))
+    look = F.xxhash64("r._id", F.col("r._id").isNull(), "r.text_hash").alias("look")
+    nodes = materialize(nodes.select("key", F.col("r._id").alias("doc"), look, "rows", "f.*", F.monotonically_increasing_id().alias("nid")), "near-nodes")
+    slots = nodes.select("nid", F.explode("bands").alias("bucket"))
+    sizes = materialize(slots.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1"), "near-sizes")
+    shared = materialize(join_heavy(slots, sizes, ["bucket"], sizes, limit), "near-slots")
     # A node's weight: how many others it meets. The hub of a bucket is the one that meets most.
-    weight = shared.groupBy("nid").agg(F.sum(F.col("size") - 1).alias("weight")).join(nodes.select("nid", "n", "s"), "nid")
+    weight = shared.groupBy("nid").agg(F.sum(F.col("rows") - 1).alias("weight")).join(nodes.select("nid", "n", "s"), "nid")
     members = materialize(shared.select("bucket", "nid").join(weight, "nid"), "near-members")
-    discard(shared)
-    hubs = members.groupBy("bucket").agg(F.max(F.struct("weight", F.negative("nid").alias("m"), "n", "s")).alias("top")).select("bucket", F.negative("top.m").alias("hub"), F.col("top.n").alias("n"), F.col("top.s").alias("s"))
-    star = members.alias("x").join(hubs.alias("y"), "bucket").where((F.col("nid") != F.col("hub")) & _allowed("x", "y", percent))
+    top = F.max(F.struct("weight", F.negative("nid").alias("m"), "n", "s"))
+    hubs = materialize(members.groupBy("bucket").agg(top.alias("top")).select("bucket", F.negative("top.m").alias("hub"), F.col("top.n").alias("hub_n"), F.col("top.s").alias("hub_s")), "near-hubs")
+    star = join_heavy(members, hubs, ["bucket"], sizes, limit).where((F.col("nid") != F.col("hub")) & _allowed(F.col("n"), F.col("s"), F.col("hub_n"), F.col("hub_s"), percent))
     edges = materialize(star.select("hub", "nid").distinct(), "near-edges")
     tested = _confirm(edges, nodes, slim, words)
-    discard(edges)
+    discard(shared, edges)
     passes = 100 * F.col("common") >= percent * (F.col("n_hub") + F.col("n_nid") - F.col("common"))
     links = tested.where(passes).select(F.col("hub").alias("a"), F.col("nid").alias("b"))
     labels = connected_components(links)
-    open_ = _unresolved(members, hubs.select("bucket", "hub"), tested, labels, percent, lambda chosen: _alone(chosen, nodes, slim, words))
-    discard(members)
+    open_ = _unresolved(members, hubs.select("bucket", "hub"), tested, labels, percent, sizes, limit, lambda chosen: _full_sets(chosen, nodes, slim, words))
+    discard(members, hubs, sizes)
     if not open_.isEmpty():
         more = _confirm(open_, nodes, slim, words)
         labels = connected_components(links.unionByName(more.where(passes).select(F.col("hub").alias("a"), F.col("nid").alias("b"))))
         discard(more)
     discard(open_, tested)
-    named = nodes.join(labels, nodes["nid"] == labels["node"], "left").select("key", "doc", F.coalesce("component", "nid").alias("c"))
+    named = nodes.join(labels, nodes["nid"] == labels["node"], "left").select("key", "doc", "rows", F.coalesce("component", "nid").alias("c"))
     names = named.groupBy("c").agg(F.min("doc").alias("name"), F.count("*").alias("k")).where("k > 1").select("c", "name")
-    of = named.join(names, "c", "left").select(F.col("key").alias("_key"), F.coalesce("name", "doc").alias("component"))
-    out = rows.join(of, rows["key"] == of["_key"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_id"))
-    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("_id") == component).alias("kept"), "text_hash")
-
+    of = materialize(named.join(names, "c", "left").select("key", "rows", F.coalesce("name", "doc").alias("component")), "near-names")
+    full = join_heavy(rows.where("n > 0").select("key", "_id", "n", "text_hash"), of.select("key", "component"), ["key"], of.select("key", "rows"), limit)
+    none = rows.where("n = 0").select("key", "_id", "n", "text_hash", F.col("_id").alias("component"))
+    out = full.unionByName(none)
+    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("_id") == F.col("component")).alias("kept"), "text_hash")
 
-def _unresolved(members: DataFrame, hubs: DataFrame, tested: DataFrame, labels: DataFrame, percent: int, alone) -> DataFrame:
-    """Untested pairs (hub, nid) of a bucket's members in different components that the bounds allow to be linked.
 
-    Of a pair's common shingles neither set can count those that it has alone, and both kinds count in the union: most copies that were
-    edited too much for a link are out by this bound without meeting any other.
-    """
+def _unresolved(members: DataFrame, hubs: DataFrame, tested: DataFrame, labels: DataFrame, percent: int, sizes: DataFrame, limit: int, full_sets) -> DataFrame:
+    """Untested pairs (hub, nid) of nodes in different components that share an open bucket or more and that the bounds allow to be linked."""
+    t = percent / 100
     far = F.lit(1.0) - F.col("common") / (F.col("n_hub") + F.col("n_nid") - F.col("common"))
     met = tested.select("hub", "nid", far.alias("d"))
     all_ = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("c", F.coalesce("component", "nid")).drop("component")
     by_c = all_.groupBy("bucket", "c").agg(F.count("*").alias("k"))
     several = by_c.groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("cs")).where("cs > 1").select("bucket", F.col("top.c").alias("main"))
-    all_ = all_.join(several, "bucket").join(hubs, "bucket").join(met, ["hub", "nid"], "left").withColumn("d", F.when(F.col("hub") == F.col("nid"), 0.0).otherwise(F.col("d")))
-    seen = materialize(all_.select("bucket", "main", "nid", "c", "n", "s", "d"), "near-all")
-    lonely, sets = alone(seen.select("nid").distinct())
-    # Without these: with nobody could one be linked, not even with a set that has all the rest of it and nothing else.
-    all_ = seen.join(lonely, "nid").where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
-    minor = all_.where(F.col("c") != F.col("main"))
-    reach = F.lit(1 - percent / 100 + 1e-9)
-    near = F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= reach, F.lit(True))
-    twice = (F.col("y.c") == F.col("y.main")) | (F.col("x.nid") < F.col("y.nid"))
-    common = F.least(F.col("x.n") - F.col("x.u"), F.col("y.n") - F.col("y.u"))
-    union = F.greatest(F.col("x.n") + F.col("y.u"), F.col("y.n") + F.col("x.u"))
-    apart = F.aggregate(F.zip_with("x.fine", "y.fine", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
-    mean = (1 - percent / 100) / 2
+    # Open nodes, and whether one is outside the largest component of one of its buckets: of two that may be linked one is, or neither bucket is open.
+    of = join_heavy(all_, several.join(hubs, "bucket"), ["bucket"], sizes, limit).join(met, ["hub", "nid"], "left")
+    distance = F.when(F.col("hub") == F.col("nid"), 0.0).otherwise(F.col("d"))
+    one = of.groupBy("nid", "c", "n", "s").agg(F.max(F.col("c") != F.col("main")).alias("minor"), F.min_by(F.struct("hub", distance.alias("d")), F.struct("hub")).alias("at"))
+    seen = materialize(one.select("nid", "c", "n", "s", "minor", "at.hub", "at.d"), "near-all")
+    sets = full_sets(seen.select("nid"))
+    # Pairs of similar sizes alone: sizes fall into classes so that partners are in neighbouring ones.
+    classed = F.floor(F.log("n") / -F.log(F.lit(t)) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
+    each = sets.join(seen.select("nid", "n", "minor"), "nid").select("nid", "n", "minor", classed.alias("k"), F.explode("h").alias("h"))
+    often = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    common = each.where("minor").join(often, "h").select("nid", "n", "k", "h", "df")
+    turn = F.row_number().over(Window.partitionBy("nid").orderBy("df", "h"))
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("nid"))
+    needed = F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9) + 1
+    probes = common.withColumns({"turn": turn, "alone": alone}).where(F.col("turn") + F.col("alone") <= needed).select(F.col("nid").alias("x"), "h", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k"))
+    pairs = probes.join(each.select(F.col("nid").alias("y"), "k", "h"), ["h", "k"]).where("x <> y").select("x", "y").distinct()
+    node = seen.join(sets.select("nid", "fine"), "nid")
+    side = lambda p: node.select(*(F.col(c).alias(p + ("" if c == "nid" else c)) for c in ("nid", "c", "n", "s", "minor", "hub", "d", "fine")))
+    both = pairs.join(side("x"), "x").join(side("y"), "y").where((F.col("xc") != F.col("yc")) & (~F.col("yminor") | (F.col("x") < F.col("y")) | ~F.col("xminor")))
+    near = (F.col("xhub") != F.col("yhub")) | F.coalesce(F.abs(F.col("xd") - F.col("yd")) <= F.lit(1 - t + 1e-9), F.lit(True))
+    apart = F.aggregate(F.zip_with("xfine", "yfine", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    mean = (1 - t) / 2
     fine = apart <= FINE * (mean + 7 * (mean * (1 - mean) / FINE) ** 0.5)
-    # A pair is made in the first bucket that it shares.
-    place = F.array_position("x.bands", F.col("x.bucket")).cast("int")
-    sooner = F.exists(F.zip_with(F.slice("x.bands", 1, place - 1), F.slice("y.bands", 1, place - 1), lambda a, b: a == b), lambda e: e)
-    twice = twice & (100 * common >= percent * union)
-    pairs = minor.alias("x").join(all_.alias("y"), F.col("x.bucket") == F.col("y.bucket")).where((F.col("x.c") != F.col("y.c")) & twice & near & _allowed("x", "y", percent) & fine & ~sooner)
-    pairs = pairs.select(F.least("x.nid", "y.nid").alias("hub"), F.greatest("x.nid", "y.nid").alias("nid")).distinct()
+    both = both.where(near & _allowed(F.col("xn"), F.col("xs"), F.col("yn"), F.col("ys"), percent) & fine)
+    found = both.select(F.least("x", "y").alias("hub"), F.greatest("x", "y").alias("nid")).distinct()
     done = tested.select(F.least("hub", "nid").alias("hub"), F.greatest("hub", "nid").alias("nid"))
-    open_ = materialize(pairs.join(done, ["hub", "nid"], "left_anti"), "near-open")
-    discard(seen, sets, lonely)
+    open_ = materialize(found.join(done, ["hub", "nid"], "left_anti"), "near-open")
+    discard(seen, sets)
     return open_
 
 
 def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of near duplicates: that with the component's smallest id.
 
-    Rows with an empty set all stay, and so do components in which no row has an id. Of rows that repeat id and text one stays.
+    Rows with an empty set all stay, and so do components in which no row has an id. Of rows that repeat id and text one stays, by a hash of
+    all its columns (two columns of such rows that hash alike are alike).
     """
+    i, h = fresh(docs.columns, "_i"), fresh(docs.columns, "_h")
+    number = lambda c: F.xxhash64(c, F.col(c).isNull())
     found = near_duplicates(docs, percent, id_col, text_col).where("n_shingles > 0")
-    lost = found.where(~F.col("kept") | (F.col(id_col).isNull() & F.col("component_id").isNotNull())).select(F.col(id_col).alias("_i"), F.col("text_hash").alias("_h")).distinct()
-    same = docs[id_col].eqNullSafe(F.col("_i")) & (F.xxhash64(docs[text_col]) == F.col("_h"))
-    left = docs.join(lost, same, "left_anti")
-    again = found.where("kept").groupBy(id_col, "text_hash").count().where("count > 1").select(F.col(id_col).alias("_i"), F.col("text_hash").alias("_h"))
+    lost = found.where(~F.col("kept") | (F.col(id_col).isNull() & F.col("component_id").isNotNull())).select(number(id_col).alias(i), F.col("text_hash").alias(h)).distinct()
+    left = docs.withColumns({i: number(id_col), h: F.xxhash64(text_col)}).join(lost, [i, h], "left_anti")
+    again = found.where("kept").groupBy(number(id_col).alias(i), F.col("text_hash").alias(h)).count().where("count > 1").select(i, h)
     if again.isEmpty():
         return left.select(*docs.columns)
-    turn = fresh(docs.columns, "_turn")
-    mine = docs[id_col].eqNullSafe(F.col("_i")) & (F.xxhash64(docs[text_col]) == F.col("_h"))
-    one = left.join(again, mine, "left_semi").withColumn(turn, F.row_number().over(Window.partitionBy(id_col, text_col).orderBy(F.xxhash64(*docs.columns)))).where(F.col(turn) == 1)
-    return left.join(again, mine, "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
+    # Aggregated before it moves: a row of many copies is one row for each partition.
+    row = fresh(docs.columns, "_row")
+    one = left.join(again, [i, h], "left_semi").groupBy(i, h).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))).alias(row))
+    return left.join(again, [i, h], "left_anti").select(*docs.columns).unionByName(one.select(f"{row}.*"))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
