@@ -7,16 +7,19 @@ an id's next byte is a lookup and a count inside one 512-bit word: any token is
 Segment bytes: magic `DAC1`, number of levels (1 byte), number of ids (8 bytes); then for each level its length (8), the level's bytes, the
 bitmap (length / 8, rounded up, low bit first) and the rank directory (4 bytes for every 512 bits). All little-endian.
 
-A file set is a Parquet folder, which any Hadoop store can hold: rows of (part, segment, tokens before it in the part, ids of its documents,
-their ends in the segment, the segment's bytes). Parts are ranges of ascending doc_id; a document never straddles two segments. The end id
-closes each document. A null text is an empty one; rows that repeat an id are documents of their own, in the order of their texts' hashes;
-null ids come first. An empty table has an empty file set.
+A file set is a folder that any Hadoop store can hold. `segments` has rows of (part, segment, tokens before it in the part, ids of its
+documents, their ends in the segment, the segment's bytes), stored as they are: without compression or dictionary, in row groups of a few
+segments, so that a reader with a part and a segment number skips all others by their statistics. `directory` has the place of each
+segment in the whole corpus (part, segment, start, n_tokens): `tokens_at` finds the segments of given places there, reads these alone and looks
+up the tokens. Parts are ranges of ascending doc_id; a document never straddles two segments. The end id closes each document. A null text is an empty one; rows that repeat an id are documents of their own, in the order of their texts' hashes; null
+ids come first. An empty table has an empty file set.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, new_path, table
+from .common import map_batches, materialize, new_path, table
 from .word_bpe import encoder
 
 END_ID = 2
-SEGMENT_TOKENS = 1 << 18
+SEGMENT_TOKENS = 1 << 16
+#: So many segments are named in the filter that a reader pushes down; more are joined.
+NAMED = 200
 _RANK_BITS = 512
 
 
@@ -94,6 +99,7 @@ class Segment:
         return int(self.slice(at, at + 1)[0])
 
 
+_DIRECTORY = "part int, segment int, start long, n_tokens long"
 _SEGMENTS = "part int, segment int, before long, n_tokens long, doc_ids array<long>, ends array<int>, raw binary"
 
 
@@ -101,8 +107,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     """Encodes the texts and writes them to `path` in ascending order of id."""
     spark = docs.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    slim = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
-    ordered = slim.repartitionByRange(n, "i", "h").sortWithinPartitions("i", "h").select("i", "t")
+    slim = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("h"), F.monotonically_increasing_id().alias("m"), F.col(text_col).alias("t"))
+    # The row's number parts rows that repeat id and text, however many there are.
+    ordered = slim.repartitionByRange(n, "i", "h", "m").sortWithinPartitions("i", "h", "m").select("i", "t")
 
     def encode():
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
@@ -132,18 +139,23 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
         return fn
 
-    map_batches(ordered, _SEGMENTS, encode).write.mode("overwrite").parquet(path)
+    plain = {"compression": "none", "parquet.enable.dictionary": "false", "parquet.block.size": str(1 << 20), "parquet.page.size": str(1 << 16)}
+    map_batches(ordered, _SEGMENTS, encode).write.mode("overwrite").options(**plain).parquet(f"{path}/segments")
+    files = spark.read.schema(_SEGMENTS).parquet(f"{path}/segments").select("part", "segment", "before", "n_tokens")
+    # One number for each part that was written, so that the driver gets no more than that.
+    starts, at = [], 0
+    for part, count in sorted((r["part"], r["n"]) for r in files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()):
+        starts.append((part, at))
+        at += count
+    begins = spark.createDataFrame(starts, "part int, at long")
+    files.join(F.broadcast(begins), "part").select("part", "segment", (F.col("at") + F.col("before")).alias("start"), "n_tokens").write.mode("overwrite").parquet(f"{path}/directory")
 
 
 def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """id, start, n_tokens, ids_crc32 (and the ids themselves) of each document in the files at `path`."""
-    files = spark.read.schema(_SEGMENTS).parquet(path)
-    # One number for each part that was written, so that the driver gets no more than that.
-    totals = sorted((r["part"], r["n"]) for r in files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
-    starts, at = {}, 0
-    for part, n in totals:
-        starts[part] = at
-        at += n
+    files = spark.read.schema(_SEGMENTS).parquet(f"{path}/segments")
+    directory = spark.read.schema(_DIRECTORY).parquet(f"{path}/directory")
+    starts = {r["part"]: r["start"] for r in directory.where("segment = 0").select("part", "start").collect()}  # one for each part
 
     def decode():
         def fn(b):
@@ -161,6 +173,37 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", wit
     return map_batches(files.select("part", "before", "doc_ids", "ends", "raw"), f"{id_col} long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids, decode)
 
 
+def tokens_at(places: DataFrame, path: str, place_col: str = "place") -> DataFrame:
+    """place, doc_id, id: the token at each wanted place of the whole corpus (from 0), and its document; places beyond the end have no row."""
+    spark = places.sparkSession
+    directory = spark.read.schema(_DIRECTORY).parquet(f"{path}/directory")
+    cell = lambda c: F.floor(c / F.lit(SEGMENT_TOKENS)).cast("long")
+    covered = directory.withColumn("cell", F.explode(F.sequence(cell(F.col("start")), cell(F.col("start") + F.col("n_tokens") - 1))))
+    wanted = places.select(F.col(place_col).cast("long").alias("place")).distinct().withColumn("cell", cell(F.col("place")))
+    inside = (F.col("place") >= F.col("start")) & (F.col("place") < F.col("start") + F.col("n_tokens"))
+    found = wanted.join(covered, "cell").where(inside).groupBy("part", "segment").agg(F.collect_list(F.struct("place", (F.col("place") - F.col("start")).cast("int").alias("at"))).alias("places"))
+    found = materialize(found, "token-places")
+    files = spark.read.schema(_SEGMENTS).parquet(f"{path}/segments")
+    few = [tuple(r) for r in found.select("part", "segment").limit(NAMED + 1).collect()]
+    if len(few) <= NAMED:
+        named = F.lit(False)
+        for part, segment in few:
+            named = named | ((F.col("part") == part) & (F.col("segment") == segment))
+        files = files.where(named)
+
+    def look():
+        def fn(b):
+            for docs, ends, raw, places_ in zip(*(b.column(c).to_pylist() for c in ("doc_ids", "ends", "raw", "places")), strict=True):
+                segment = Segment(raw)
+                rows = [(p["place"], docs[bisect_right(ends, p["at"])], segment[p["at"]]) for p in places_]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["place", "doc_id", "id"])
+
+        return fn
+
+    joined = files.join(found, ["part", "segment"]).select("doc_ids", "ends", "raw", "places")
+    return map_batches(joined, "place long, doc_id long, id long", look)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of all documents, read back from the files."""
     import public_tokenizers
