@@ -6,12 +6,20 @@ stand at a place that it has in a pattern. A block that ends no pattern skips po
 shift is 0, the bucket of that suffix block names the candidates; the first word, then the whole window are compared with the
 document's words, so that a hash never decides.
 
+A benchmark of more than a chunk takes several searches. Each gives only the documents that it hits, by a hash of 128 bits of their texts (equal
+texts are hit alike), so that documents are read again but neither moved nor written for a chunk; their hits are joined at the end. A worker
+builds the tables of a chunk once.
+
 Null and empty texts have no words: such documents are not hit, such items have no window. An item without an id hits words but
 is never named. Repeated rows are handled row by row. Any further columns stay.
 """
 
 from __future__ import annotations
 
+import itertools
+import uuid
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +28,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField
 from .common import append_columns, fresh, materialize, table
 
 WINDOW = 10
-#: Pattern tables are broadcast in chunks of at most so many bytes of benchmark text; more chunks mean more passes.
+#: Pattern tables are broadcast in chunks of at most so many bytes of benchmark text.
 CHUNK_BYTES = 4 << 20
 #: Lower-cases A-Z; whatever is not a digit, an ASCII letter or part of a non-ASCII character becomes a space.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -105,48 +113,87 @@ def _chunks(benchmark: DataFrame, text_col: str, id_col: str, most: int):
     yield held
 
 
+#: The searchers of the chunk that this worker process built last.
+_built: dict = {}
+
+
+def _searchers(key: str, items: list, window: int) -> list[WuManber]:
+    if key not in _built:
+        _built.clear()
+        _built[key] = build(items, window)
+    return _built[key]
+
+
+def _found(words: list[bytes], items: list, searchers: list[WuManber]) -> tuple[list[int], list[int]]:
+    """Flat merged spans and sorted ids of the items found in a document."""
+    spans, numbers = hits(words, searchers) if words else ([], set())
+    return [x for s in spans for x in s], sorted({items[k][0] for k in numbers if items[k][0] is not None})
+
+
+_LONGS = pa.list_(pa.int64())
+
+
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, dict[str, str]]:
     """docs with number of words, spans of hit words (flat start, end, start, end ...) and ids of the items found.
 
-    Returns the frame and the names of its new columns by "words", "spans" and "items". No document row moves. A benchmark of
-    more than `chunk_bytes` takes one pass for each chunk, each carrying on what the passes before it found.
+    Returns the frame and the names of its new columns by "words", "spans" and "items". With one chunk of benchmark no row moves.
     """
     name = {k: fresh(docs.columns, v) for k, v in (("words", "n_words"), ("spans", "hit_spans"), ("items", "hit_items"))}
-    out, first = docs, True
+    fields = [StructField(name["words"], LongType()), StructField(name["spans"], ArrayType(LongType())), StructField(name["items"], ArrayType(LongType()))]
     sc = docs.sparkSession.sparkContext
-    for chunk in _chunks(benchmark, text_col, item_col, chunk_bytes):
-        shared = sc.broadcast(chunk)
+    chunks = _chunks(benchmark, text_col, item_col, chunk_bytes)
+    first, second = next(chunks, []), next(chunks, None)
+    if second is None:
+        shared, key = sc.broadcast(first), uuid.uuid4().hex
 
-        def make(shared=shared):
+        def make():
             items = shared.value
-            searchers = build(items, window)
-
-            def fn(texts, old_spans=None, old_items=None):
-                n, spans, found = [], [], []
-                for i in range(len(texts)):
-                    words = words_of(texts[i].as_py())
-                    own, ids = hits(words, searchers) if words else ([], set())
-                    named = {items[k][0] for k in ids if items[k][0] is not None}
-                    if old_spans is not None:
-                        flat = old_spans[i].as_py()
-                        own = _merge([*own, *zip(flat[::2], flat[1::2], strict=True)])
-                        named |= set(old_items[i].as_py())
-                    n.append(len(words))
-                    spans.append([x for s in own for x in s])
-                    found.append(sorted(named))
-                return [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.int64()))]
+            searchers = _searchers(key, items, window)
+
+            def fn(texts):
+                words = [words_of(t.as_py()) for t in texts]
+                found = [_found(w, items, searchers) for w in words]
+                return [pa.array([len(w) for w in words], pa.int64()), pa.array([s for s, _ in found], _LONGS), pa.array([i for _, i in found], _LONGS)]
 
             return fn
 
-        fields = [StructField(name["words"], LongType()), StructField(name["spans"], ArrayType(LongType())), StructField(name["items"], ArrayType(LongType()))]
-        if first:
-            out, first = append_columns(out, [text_col], fields, make), False
-        else:
-            kept = materialize(out, "decon")
-            old = [fresh(kept.columns, "_old_spans"), fresh(kept.columns, "_old_items")]
-            kept = kept.drop(name["words"]).withColumnsRenamed({name["spans"]: old[0], name["items"]: old[1]})
-            out = append_columns(kept, [text_col, *old], fields, make).drop(*old)
-    return out, name
+        return append_columns(docs, [text_col], fields, make), name
+    slim = docs.select(F.col(text_col).alias("t"))
+    parts = [_hit_texts(slim, chunk, window) for chunk in itertools.chain([first, second], chunks)]
+    one = reduce(DataFrame.unionByName, parts).groupBy("h", "g").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    h, g = fresh(docs.columns, "_h"), fresh(docs.columns, "_g")
+    joined = docs.withColumns({h: F.xxhash64(text_col), g: F.xxhash64(F.lit(1), text_col)})
+    one = materialize(one, "decon").select(F.col("h").alias(h), F.col("g").alias(g), F.col("spans").alias(name["spans"]), F.col("items").alias(name["items"]))
+    joined = joined.join(one, [h, g], "left").drop(h, g)
+
+    def count():
+        def fn(texts, spans, items):
+            merged = [[x for s in _merge(list(zip(f[::2], f[1::2], strict=True))) for x in s] for f in (s.as_py() or [] for s in spans)]
+            return [pa.array([len(words_of(t.as_py())) for t in texts], pa.int64()), pa.array(merged, _LONGS), pa.array([i.as_py() or [] for i in items], _LONGS)]
+
+        return fn
+
+    renamed = {name["spans"]: fresh([*docs.columns, *name.values()], "_spans"), name["items"]: fresh([*docs.columns, *name.values()], "_items")}
+    out = append_columns(joined.withColumnsRenamed(renamed), [text_col, *renamed.values()], fields, count)
+    return out.drop(*renamed.values()), name
+
+
+def _hit_texts(texts: DataFrame, chunk: list, window: int) -> DataFrame:
+    """h, g, spans, items: the distinct texts that a chunk of the benchmark hits."""
+    shared, key = texts.sparkSession.sparkContext.broadcast(chunk), uuid.uuid4().hex
+
+    def make():
+        items = shared.value
+        searchers = _searchers(key, items, window)
+
+        def fn(t):
+            found = [_found(words_of(x.as_py()), items, searchers) for x in t]
+            return [pa.array([s for s, _ in found], _LONGS), pa.array([i for _, i in found], _LONGS)]
+
+        return fn
+
+    found = append_columns(texts, ["t"], [StructField("spans", ArrayType(LongType())), StructField("items", ArrayType(LongType()))], make)
+    return found.where(F.size("spans") > 0).select(F.xxhash64("t").alias("h"), F.xxhash64(F.lit(1), "t").alias("g"), "spans", "items").dropDuplicates(["h", "g"])
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
