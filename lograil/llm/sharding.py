@@ -57,7 +57,8 @@ def communication_matrix(parts: list[int], blocks: list[int], seed: int = SEED)
 def shuffle_to_shards(df: DataFrame, shards: int = SHARDS, seed: int = SEED, shard_col: str = "shard", slot_col: str = "slot") -> DataFrame:
     """df with the shard and the slot of each row: shard sizes at most one apart, slots from 0 without gaps."""
     shard_col, slot_col = fresh(df.columns, shard_col), fresh(df.columns, slot_col)
-    mid, part, block, turn = (fresh(df.columns, c) for c in ("_mid", "_part", "_block", "_turn"))
+    taken = [*df.columns, shard_col, slot_col]
+    mid, part, block, turn, in_p, in_s, to, begin = (fresh(taken, c) for c in ("_mid", "_part", "_block", "_turn", "_in_p", "_in_s", "_to", "_begin"))
     # Written first: the numbers must be the same however often a lost task is run again.
     base = materialize(df.withColumn(mid, F.monotonically_increasing_id()), "shard")
     low = (1 << 33) - 1
@@ -84,8 +85,8 @@ def shuffle_to_shards(df: DataFrame, shards: int = SHARDS, seed: int = SEED, sha
     upto = np.cumsum(communication_matrix(parts, blocks, seed), axis=1) if parts else np.zeros((0, len(blocks)), dtype=np.int64)
     spark = df.sparkSession
     upto_b = spark.sparkContext.broadcast(upto)
-    names = spark.createDataFrame(of or [(-1, -1, -1)], f"_p long, _s long, `{part}` int")
-    rows = base.join(F.broadcast(names), (piece[0] == F.col("_p")) & (piece[1] == F.col("_s"))).drop("_p", "_s")
+    names = spark.createDataFrame(of or [(-1, -1, -1)], f"`{in_p}` long, `{in_s}` long, `{part}` int")
+    rows = base.join(F.broadcast(names), (piece[0] == F.col(in_p)) & (piece[1] == F.col(in_s))).drop(in_p, in_s)
     # Permute inside the part; a key is a hash of seed and row number, so that it is the same in every attempt.
     rows = rows.withColumn(turn, F.row_number().over(Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed), mid), mid)) - 1)
 
@@ -103,10 +104,10 @@ def shuffle_to_shards(df: DataFrame, shards: int = SHARDS, seed: int = SEED, sha
         return fn
 
     rows = append_columns(rows, [part, turn], [StructField(block, IntegerType())], deal)
-    places = spark.createDataFrame([(b, j, at) for b, (j, at) in enumerate(starts)], f"_b int, `{shard_col}` int, _at long")
+    places = spark.createDataFrame([(b, j, at) for b, (j, at) in enumerate(starts)], f"`{to}` int, `{shard_col}` int, `{begin}` long")
     within = F.row_number().over(Window.partitionBy(block).orderBy(F.xxhash64(F.lit(seed + 1), mid), mid)) - 1
-    rows = rows.withColumn(turn, within).join(F.broadcast(places), F.col(block) == F.col("_b"))
-    return rows.select(*df.columns, shard_col, (F.col("_at") + F.col(turn)).cast("long").alias(slot_col))
+    rows = rows.withColumn(turn, within).join(F.broadcast(places), F.col(block) == F.col(to))
+    return rows.select(*(F.col(f"`{c}`") for c in df.columns), shard_col, (F.col(begin) + F.col(turn)).cast("long").alias(slot_col))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
