@@ -2,17 +2,19 @@
 
 Nearness is the largest inner product. One more coordinate, sqrt(longest^2 - |x|^2) for candidates and 0 for queries, makes it
 nearness in space. Each of several curves projects the vectors on a few random directions, spreads the projections evenly over
-the unit cube, shifts the cube at random and sorts by Hilbert key. Spark range-partitions the keys; every `block`-th key and the
-keys half a window before and after become the borders of overlapping key windows, so that no neighbour is lost at an edge.
-Each window compares its queries with its vectors; windows of all curves merge, and the best by the exact measure stay.
+the unit cube, shifts the cube at random and sorts by Hilbert key. Spark range-partitions the keys; every fourth step of a curve is the
+border of a key window. A vector goes to its one window on each curve; a query goes to its own window and, in the first or last step of
+that, to the neighbouring one too, so that no neighbour is lost at an edge. Each window compares its queries with its vectors; windows of all
+curves merge, and the best by the exact measure stay. Vectors travel as they came, single or double precision; scores are double.
 
 Equal vectors are one node, with the k + 1 rows of the smallest ids; nodes are indexed, compared and ranked, then expanded to their rows.
 So copies, however many, take one place in a window, and each of a node's query rows has the node's answer without itself.
 
-A window is six steps. A step is HALO * sqrt(n), or HALO * n^POWER / PART where that is more (from about 80,000 vectors on): vectors
+A query meets six steps on average. A step is HALO * sqrt(n), or HALO * n^POWER / PART where that is more (from about 80,000 vectors on): vectors
 without low-dimensional structure need windows that grow nearly as the table does, or recall falls. The work per query node is
-curves * 6 * step, so that of a whole table grows as n^1.9. A window of more than TILE rows is compared in several tasks, each with all
-of its queries and a share of its vectors, so a task's memory does not grow.
+curves * 6 * step, so that of a whole table grows as n^1.9. A window of more than TILE vectors or queries is compared in several tasks, each
+with a block of its queries and a share of its vectors, so a task's memory does not grow. `exact` compares all queries with all vectors, in
+blocks: one curve, whose one window is the table.
 
 Vectors that are null, empty, zero, of another length than most, or hold a null or non-finite component take no part. Equal scores
 go to the smaller id. Repeated rows are candidates of their own; each repeated query row has its own answer. An empty table has
@@ -98,8 +100,8 @@ class Curves:
         return out
 
 
-def vectors_of(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist())).reshape(len(column), -1)
+def vectors_of(column: pa.Array, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1).astype(np.float64)
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -122,7 +124,7 @@ def _nodes(rows: DataFrame, most: int) -> DataFrame:
     return ids.join(asked, same, "left").withColumn("n_asked", F.coalesce("n_asked", F.lit(0))).withColumn("asked", F.col("n_asked") > 0)
 
 
-def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", curves: int = CURVES, halo: float = HALO, seed: int = SEED) -> DataFrame:
+def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", curves: int = CURVES, halo: float = HALO, seed: int = SEED, exact: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by `every`, among all other rows."""
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -134,11 +136,14 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     rows = rows.where(F.size("v") == lengths[0]["n"])
     base = materialize(_nodes(rows, k + 1), "ann-nodes")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    n, longest = base.agg(F.count("*"), F.max(norm)).first()
+    n, longest, n_asked = base.agg(F.count("*"), F.max(norm), F.sum(F.col("asked").cast("int"))).first()
+    single = vectors.schema[vector_col].dataType.elementType.simpleString() == "float"
     sample = np.array([r["v"] for r in base.orderBy("g", "h").limit(SPREAD_SAMPLE).select("v").collect()])
+    curves, step = (1, n) if exact else (curves, step_of(n, halo))
     shared = spark.sparkContext.broadcast(Curves(sample, longest, curves, DIMS, BITS, seed))
-    step = step_of(n, halo)
-    tiles, most = math.ceil(6 * step / TILE), k + 1
+    window = min(n, 4 * step)
+    # A window's share of the queries is that of the table, or a little more: blocks are by number, so they may be larger by as much.
+    tiles, blocks, most = math.ceil(window / TILE), math.ceil(n_asked * window / n / TILE), k + 1
 
     def keyed_rows(b: pa.RecordBatch):
         """(rows, their vectors, their keys on each curve, whether they are queries): candidates, then queries."""
@@ -179,42 +184,46 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     marks_b = spark.sparkContext.broadcast([np.array(sorted(b), dtype=[("k", np.int64), ("r", np.int64)]) for b in borders])
 
     def deal():
-        """Each row to its window; a window is four steps and a step of the neighbours on either side."""
+        """Vectors to their windows, queries to theirs and at an edge to the next one; both to as many tasks as share a window."""
 
         def fn(b):
             rid = b.column("rid").to_numpy()
             vid = b.column("vid")
             for at_, x, per_curve, query in keyed_rows(b):
-                raw = [v.tobytes() for v in x]
+                raw = [v.tobytes() for v in (x.astype(np.float32) if single else x)]
                 for c, key in enumerate(per_curve):
                     mark = marks_b.value[c]
                     mine = np.empty(len(at_), dtype=mark.dtype)
                     mine["k"], mine["r"] = key, rid[at_]
                     s = np.searchsorted(mark, mine, side="right")
-                    last = len(mark) // 4
-                    own = s // 4
-                    for w, keep in ((own, np.ones(len(s), bool)), (own - 1, (s % 4 == 0) & (own > 0)), (own + 1, (s % 4 == 3) & (own < last))):
-                        if query and w is not own:
-                            continue
+                    own, last = s // 4, len(mark) // 4
+                    targets = [(own, np.ones(len(s), bool))]
+                    if query:
+                        targets += [(own - 1, (s % 4 == 0) & (own > 0)), (own + 1, (s % 4 == 3) & (own < last))]
+                    for w, keep in targets:
                         i = np.flatnonzero(keep)
-                        for every_tile in range(tiles if query else 1):
-                            tile = np.full(len(i), every_tile) if query else rid[at_[i]] % tiles
-                            if len(i):
-                                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), c, dtype=np.int32)), pa.array(w[i].astype(np.int32)), pa.array(tile.astype(np.int32)), pa.array(np.full(len(i), query)), pa.array(rid[at_[i]]), vid.take(pa.array(at_[i])), pa.array([raw[j] for j in i], pa.binary())], names=["c", "w", "t", "q", "rid", "vid", "v"])
+                        if not len(i):
+                            continue
+                        share, number = (blocks, tiles) if query else (tiles, blocks)
+                        for other in range(number):
+                            fixed, mixed = np.full(len(i), other), rid[at_[i]] % share
+                            tile, block = (fixed, mixed) if query else (mixed, fixed)
+                            longs = [pa.array(a.astype(np.int32)) for a in (np.full(len(i), c), w[i], tile, block)]
+                            yield pa.RecordBatch.from_arrays([*longs, pa.array(np.full(len(i), query)), pa.array(rid[at_[i]]), vid.take(pa.array(at_[i])), pa.array([raw[j] for j in i], pa.binary())], names=["c", "w", "t", "b", "q", "rid", "vid", "v"])
 
         return fn
 
-    dealt = map_batches(base.select("rid", "vid", "asked", "v"), "c int, w int, t int, q boolean, rid long, vid long, v binary", deal)
+    dealt = map_batches(base.select("rid", "vid", "asked", "v"), "c int, w int, t int, b int, q boolean, rid long, vid long, v binary", deal)
 
     def rerank(rows: pa.Table) -> pa.Table:
-        x = vectors_of(rows.column("v"))
+        x = vectors_of(rows.column("v"), np.float32 if single else np.float64)
         q, rid = rows.column("q").to_numpy(), rows.column("rid").to_numpy()
         vid, has = rows.column("vid").to_pylist(), np.flatnonzero(q)
         rest = np.flatnonzero(~q)
         order = rest[np.lexsort((rid[rest], [math.inf if vid[i] is None else vid[i] for i in rest]))]
         own, found = x[order], []
-        for lo in range(0, len(has), 256):
-            asked = has[lo : lo + 256]
+        for lo in range(0, len(has), 128):
+            asked = has[lo : lo + 128]
             near = x[asked] @ own.T
             for i, row in zip(asked, near, strict=True):
                 top = np.argsort(-row, kind="stable")[: most + 8] if len(row) <= 4 * most else (t := np.flatnonzero(row >= np.partition(row, -most)[-most] - 1e-12))[np.argsort(-row[t], kind="stable")]
@@ -225,7 +234,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
         cs = np.concatenate([c for _, c, _ in found]).astype(int) if found else np.zeros(0, int)
         return pa.table({"q": pa.array(rid[qs]), "rid": pa.array(rid[cs]), "vid": pa.array([vid[i] for i in cs], pa.int64()), "score": pa.array(np.concatenate([s for _, _, s in found]) if found else np.zeros(0))})
 
-    pairs = dealt.groupBy("c", "w", "t").applyInArrow(rerank, "q long, rid long, vid long, score double")
+    pairs = dealt.groupBy("c", "w", "t", "b").applyInArrow(rerank, "q long, rid long, vid long, score double")
     # A query lies elsewhere than its own node if that is not of the greatest length; its copies are candidates all the same.
     norm2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     pairs = pairs.union(base.where(F.col("asked") & (F.size("ids") > 1)).select(F.col("rid").alias("q"), "rid", "vid", norm2.alias("score")))
