@@ -116,7 +116,7 @@ def calibrated(rows: list[np.ndarray], toxic: np.ndarray) -> Model | None:
         return None
     margins, fold = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
     for label in (False, True):  # each fold has its share of both labels
-        at = np.flatnonzero(toxic == label)
+        at = np.random.default_rng(FOLDS).permutation(np.flatnonzero(toxic == label))
         fold[at] = np.arange(len(at)) % FOLDS
     for k in range(FOLDS):
         part, rest = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
