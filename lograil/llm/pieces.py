@@ -1,11 +1,13 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
 The texts of a batch fall into chunks (a run of word marks and what follows up to the next one; no piece crosses from one chunk into the
-next). The chunks that are new are joined into one text, whose suffix array is sorted on as many characters as the longest piece has. Each
-piece of the vocabulary is found in it by binary search: the occurrences are a range of the array. Each occurrence is an edge over the
-text; the edges are sorted by position and relaxed. The model is byte-pair: the relaxation applies in every chunk the best-scored edge
-that spans exactly two symbols, the leftmost of equals, until none is left, which is how such a model defines its encoding. What no
-piece covers becomes bytes.
+next). What is indexed is the batch's distinct chunks that this worker has not met before, as one concatenated text; the ids of those that it
+has met come from a memo of at most CHUNKS_KEPT chunks. The index is a suffix array, sorted on as many characters as the longest piece has.
+Each piece of the vocabulary is found in it by binary search: the occurrences are a range of the array. Each occurrence is an edge over
+the text; the edges are sorted by position and relaxed. The model is byte-pair: the relaxation applies in every chunk the best-scored edge
+that spans exactly two symbols, the leftmost of equals, until none is left, which is how such a model defines its encoding. All chunks take
+one such step side by side; a chunk of more than LONG_CHUNK characters, of which each step would look at the whole, takes the same steps over
+the same edges from a heap. What no piece covers becomes bytes.
 
 The ids equal the sentencepiece library's, which only reads the model file here and normalises texts. A null text has null ids and a
 null decoded text; an empty one has none and decodes to itself. Texts of any length are encoded whole. A literal word mark (U+2581) decodes to a
