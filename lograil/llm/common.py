@@ -78,9 +78,13 @@ def join_heavy(left: DataFrame, right: DataFrame, keys: list[str], counts: DataF
     """left joined with the one row that right has for each key (keys that right lacks go), heavy keys without a shuffle.
 
     counts: keys and `rows`, how many of left's rows a key has, or more. Rows of keys with more than `limit` meet theirs by a broadcast of at
-    most rows(left) / limit rows; all others are shuffled. So no task gets more than its share, whatever one key holds.
+    most rows(left) / limit rows; all others are shuffled. So no task gets more than its share, whatever one key holds. Without heavy keys,
+    which a look at counts tells, it is a plain join.
     """
-    heavy = F.broadcast(counts.where(F.col("rows") > limit).select(*keys))
+    heavy = counts.where(F.col("rows") > limit).select(*keys)
+    if heavy.isEmpty():
+        return left.join(right, keys)
+    heavy = F.broadcast(heavy)
     light = left.join(heavy, keys, "left_anti").join(right, keys)
     return light.unionByName(left.join(F.broadcast(right.join(heavy, keys, "left_semi")), keys))
 

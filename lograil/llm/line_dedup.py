@@ -64,42 +64,45 @@ def _digest(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
+_HASHES = [f"p{k}" for k in range(PARTS)]
+_LINES = "leaf long, node long, n int, " + ", ".join(f"{p} long" for p in _HASHES) + ", o long, h long, place int"
+
+
 def _parse():
-    """(leaf, node, n, parts, o, h, place) of each line that has a template; parts: hashes of the parts, none of a line without free ones."""
+    """A row of _LINES for each line that has a template; p0, p1 ...: hashes of its parts, 0 for those that it lacks."""
 
     def fn(b):
         for lo in range(0, b.num_rows, 250):
             part = b.slice(lo, 250)
-            row, place, leaf, node, n, parts, ends = [], [], [], [], [], [], [0]
+            row, place, leaf, node, n, parts, where = [], [], [], [], [], [], []
             for i, text in enumerate(part.column("_t").to_pylist()):
                 for k, line in enumerate(text.split("\n")) if text else ():
                     tokens = tokens_of(line)
                     if all(t == WILD for t in tokens):
                         continue
-                    size = len(tokens)
+                    size, at = len(tokens), len(row) * PARTS
                     row.append(i)
                     place.append(k)
                     n.append(size)
                     leaf.append(_digest(f"{size} {' '.join(tokens[:LEAD])}"))
-                    if size < 5:
+                    if not free_parts(size):
                         node.append(_digest(" ".join(tokens)))
                     else:
                         own = [_digest(" ".join(p)) for p in parts_of(tokens)]
                         parts += own
+                        where += range(at, at + len(own))
                         node.append(xxhash.xxh3_64_intdigest(np.array(own, np.uint64).tobytes()))
-                    ends.append(len(parts))
             at = pa.array(row, pa.int32())
             longs = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), longs(parts))
-            columns = [longs(leaf), longs(node), pa.array(n, pa.int32()), lists, part.column("_o").take(at), part.column("_h").take(at), pa.array(place, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["leaf", "node", "n", "parts", "o", "h", "place"])
+            every = np.zeros(len(row) * PARTS, np.uint64)
+            every[where] = np.array(parts, np.uint64)
+            hashes = [pa.array(c) for c in np.ascontiguousarray(every.view(np.int64).reshape(-1, PARTS).T)]
+            columns = [longs(leaf), longs(node), pa.array(n, pa.int32()), *hashes, part.column("_o").take(at), part.column("_h").take(at), pa.array(place, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["leaf", "node", "n", *_HASHES, "o", "h", "place"])
 
     return fn
 
 
-_LINES = "leaf long, node long, n int, parts array<long>, o long, h long, place int"
-
-
 def _order(id_col: str | Column, text_col: str | Column) -> Column:
     """Ids as they are; without one, a number beyond them that the text decides."""
     one = F.col(id_col) if isinstance(id_col, str) else id_col
@@ -121,12 +124,13 @@ def _forms() -> Column:
 def _heads(lines: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     """leaf, node, head: of each node that recurs, the first document of its templates; and leaf, node, rows: how many lines a node has."""
     same = ["leaf", "node"]
-    nodes = materialize(lines.groupBy(*same).agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count("*").alias("rows")), "line-nodes")
-    shared = nodes.groupBy("leaf").agg(F.count("*").alias("k"), F.sum("rows").alias("rows")).where("k > 1")
-    # A leaf's lines are as many as one leaf holds, so those of heavy leaves meet their leaf by a broadcast.
-    several = shared.select("leaf", "rows")
-    inside = join_heavy(lines.where("n >= 5").select(*same, "n", "parts"), several.select("leaf"), ["leaf"], several, limit)
-    open_ = inside.groupBy(*same).agg(F.any_value("n").alias("n"), F.any_value("parts").alias("parts")).join(nodes, same)
+    hashes = [F.any_value(p).alias(p) for p in _HASHES]
+    nodes = lines.groupBy(*same).agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count("*").alias("rows"), F.any_value("n").alias("n"), *hashes)
+    nodes = materialize(nodes, "line-nodes")
+    leaves = materialize(nodes.groupBy("leaf").agg(F.count("*").alias("rows")).where("rows > 1"), "line-leaves")
+    inside = join_heavy(nodes.where("n >= 5"), leaves.select("leaf"), ["leaf"], leaves, limit)
+    parts = F.slice(F.array(*_HASHES), 1, F.least(F.lit(PARTS), F.col("n") - LEAD)).alias("parts")
+    open_ = inside.select(*same, "first", "last", "n", parts)
     forms = materialize(open_.select(*same, "first", "last", F.explode(_forms()).alias("form")), "line-forms")
     tops = forms.groupBy("form").agg(F.min("first").alias("head"), F.max("last").alias("end"), F.count("*").alias("rows"))
     tops = materialize(tops.where("rows > 1 AND head < end"), "line-tops")
