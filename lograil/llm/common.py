@@ -14,7 +14,7 @@ from lograil.storage import discard, materialize, new_path
 
 __all__ = ["append_columns", "digest64", "discard", "fresh", "heavy_limit", "join_heavy", "map_batches", "materialize", "new_path", "table"]
 
-#: Rows that a Python function gets at a time: what bounds a worker's memory.
+#: Rows that a Python function gets at a time, and an Arrow batch holds at most: what bounds a worker's memory.
 ROWS_AT_ONCE = 1000
 
 
@@ -29,8 +29,8 @@ def fresh(columns: list[str], name: str) -> str:
 def _prepare(spark: SparkSession) -> None:
     ensure_shipped(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= 4 * ROWS_AT_ONCE:
-        spark.conf.set(key, 4 * ROWS_AT_ONCE)
+    if not 0 < int(spark.conf.get(key)) <= ROWS_AT_ONCE:
+        spark.conf.set(key, ROWS_AT_ONCE)
 
 
 def append_columns(df: DataFrame, inputs: list[str], fields: list[StructField], make: Callable[[], Callable[..., list[pa.Array]]]) -> DataFrame:

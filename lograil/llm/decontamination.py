@@ -124,10 +124,11 @@ def _searchers(key: str, items: list, window: int) -> list[WuManber]:
     return _built[key]
 
 
-def _found(words: list[bytes], items: list, searchers: list[WuManber]) -> tuple[list[int], list[int]]:
-    """Flat merged spans and sorted ids of the items found in a document."""
+def _found(text: str | None, items: list, searchers: list[WuManber]) -> tuple[int, list[int], list[int]]:
+    """Number of words, flat merged spans and sorted ids of the items found in a document."""
+    words = words_of(text)
     spans, numbers = hits(words, searchers) if words else ([], set())
-    return [x for s in spans for x in s], sorted({items[k][0] for k in numbers if items[k][0] is not None})
+    return len(words), [x for s in spans for x in s], sorted({items[k][0] for k in numbers if items[k][0] is not None})
 
 
 _LONGS = pa.list_(pa.int64())
@@ -151,9 +152,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
             searchers = _searchers(key, items, window)
 
             def fn(texts):
-                words = [words_of(t.as_py()) for t in texts]
-                found = [_found(w, items, searchers) for w in words]
-                return [pa.array([len(w) for w in words], pa.int64()), pa.array([s for s, _ in found], _LONGS), pa.array([i for _, i in found], _LONGS)]
+                n, spans, named = zip(*(_found(t.as_py(), items, searchers) for t in texts), strict=True)
+                return [pa.array(n, pa.int64()), pa.array(spans, _LONGS), pa.array(named, _LONGS)]
 
             return fn
 
@@ -187,8 +187,8 @@ def _hit_texts(texts: DataFrame, chunk: list, window: int) -> DataFrame:
         searchers = _searchers(key, items, window)
 
         def fn(t):
-            found = [_found(words_of(x.as_py()), items, searchers) for x in t]
-            return [pa.array([s for s, _ in found], _LONGS), pa.array([i for _, i in found], _LONGS)]
+            _, spans, named = zip(*(_found(x.as_py(), items, searchers) for x in t), strict=True)
+            return [pa.array(spans, _LONGS), pa.array(named, _LONGS)]
 
         return fn
 

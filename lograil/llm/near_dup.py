@@ -38,6 +38,8 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = np.uint64(0xD1342543DE82EF95)
+#: Bytes of sets that a Python function sends at a time.
+SENT_BYTES = 4 << 20
 #: Members of a star that one task confirms against one copy of the hub's set.
 SALT_ROWS = 256
 
@@ -240,7 +242,7 @@ def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) ->
         once = _Once(words)
 
         def fn(b):
-            hub, salt, role, nid, sets = [], [], [], [], []
+            hub, salt, role, nid, sets, size = [], [], [], [], [], 0
             for text, key, of, roles_ in zip(b.column("_text"), b.column("key").to_pylist(), b.column("of").to_pylist(), b.column("roles").to_pylist(), strict=True):
                 s = once.of(text.as_py(), key, of)
                 if s is None:
@@ -252,9 +254,10 @@ def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) ->
                     role.append(r["role"])
                     nid.append(of)
                     sets.append(raw)
-                if len(sets) >= 2000:
-                    yield batch(hub, salt, role, nid, sets)
-                    hub, salt, role, nid, sets = [], [], [], [], []
+                    size += len(raw)
+                    if size >= SENT_BYTES:
+                        yield batch(hub, salt, role, nid, sets)
+                        hub, salt, role, nid, sets, size = [], [], [], [], [], 0
             if sets:
                 yield batch(hub, salt, role, nid, sets)
 

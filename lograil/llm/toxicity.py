@@ -182,7 +182,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
         return fn
 
-    texts = slim.join(F.broadcast(few), "_i").groupBy("_i", "_y").agg(first("_t").alias("_t")).select("_t", "_y", "_i")
+    # Dealt to as many tasks as there are partitions, so that each makes a small part of the features.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    texts = slim.join(F.broadcast(few), "_i").groupBy("_i", "_y").agg(first("_t").alias("_t")).repartition(parts, "_i").select("_t", "_y", "_i")
     rows = map_batches(texts, "f binary, y int, i long", features)
     # At most 2 * TRAIN_ROWS rows, and 2 * TRAIN_CHARS * len(NGRAMS) columns of 4 bytes, come to the driver.
     got = rows.toArrow().combine_chunks()
@@ -313,7 +315,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
         return fn
 
-    texts = slim.join(F.broadcast(few), "_i").groupBy("_i", "_y").agg(first("_t").alias("_t")).select("_t", "_y", "_i")
+    # Dealt to as many tasks as there are partitions, so that each makes a small part of the features.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    texts = slim.join(F.broadcast(few), "_i").groupBy("_i", "_y").agg(first("_t").alias("_t")).repartition(parts, "_i").select("_t", "_y", "_i")
     rows = map_batches(texts, "f binary, y int, i long", features)
     # At most 2 * TRAIN_ROWS rows, and 2 * TRAIN_CHARS * len(NGRAMS) columns of 4 bytes, come to the driver.
     got = rows.toArrow()
