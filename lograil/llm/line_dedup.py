@@ -65,11 +65,11 @@ def _digest(text: str) -> int:
 
 
 _HASHES = [f"p{k}" for k in range(PARTS)]
-_LINES = "leaf long, node long, n int, " + ", ".join(f"{p} long" for p in _HASHES) + ", o long, h long, place int"
+_LINES = "leaf long, node long, n int, " + ", ".join(f"{p} int" for p in _HASHES) + ", o long, h long, place int"
 
 
 def _parse():
-    """A row of _LINES for each line that has a template; p0, p1 ...: hashes of its parts, 0 for those that it lacks."""
+    """A row of _LINES for each line that has a template; p0, p1 ...: hashes of its parts (32 bits will do beside the leaf's 64), 0 for those that it lacks."""
 
     def fn(b):
         for lo in range(0, b.num_rows, 250):
@@ -96,7 +96,7 @@ def _parse():
             longs = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
             every = np.zeros(len(row) * PARTS, np.uint64)
             every[where] = np.array(parts, np.uint64)
-            hashes = [pa.array(c) for c in np.ascontiguousarray(every.view(np.int64).reshape(-1, PARTS).T)]
+            hashes = [pa.array(c) for c in np.ascontiguousarray(every.astype(np.uint32).view(np.int32).reshape(-1, PARTS).T)]
             columns = [longs(leaf), longs(node), pa.array(n, pa.int32()), *hashes, part.column("_o").take(at), part.column("_h").take(at), pa.array(place, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["leaf", "node", "n", *_HASHES, "o", "h", "place"])
 
@@ -114,7 +114,7 @@ def _forms() -> Column:
     k = F.size("parts")
 
     def form(i: Column, j: Column) -> Column:
-        return F.xxhash64("leaf", i, j, F.transform("parts", lambda p, at: F.when((at == i) | (at == j), F.lit(0).cast("long")).otherwise(p)))
+        return F.xxhash64("leaf", i, j, F.transform("parts", lambda p, at: F.when((at == i) | (at == j), F.lit(0)).otherwise(p)))
 
     one = F.transform(F.sequence(F.lit(0), k - 1), lambda i: form(i, F.lit(-1)))
     two = F.flatten(F.transform(F.sequence(F.lit(0), k - 2), lambda i: F.transform(F.sequence(i + 1, k - 1), lambda j: form(i, j))))
@@ -124,20 +124,25 @@ def _forms() -> Column:
 def _heads(lines: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     """leaf, node, head: of each node that recurs, the first document of its templates; and leaf, node, rows: how many lines a node has."""
     same = ["leaf", "node"]
-    hashes = [F.any_value(p).alias(p) for p in _HASHES]
-    nodes = lines.groupBy(*same).agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count("*").alias("rows"), F.any_value("n").alias("n"), *hashes)
-    nodes = materialize(nodes, "line-nodes")
-    leaves = materialize(nodes.groupBy("leaf").agg(F.count("*").alias("rows")).where("rows > 1"), "line-leaves")
-    inside = join_heavy(nodes.where("n >= 5"), leaves.select("leaf"), ["leaf"], leaves, limit)
+    nodes = materialize(lines.groupBy(*same).agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count("*").alias("rows")), "line-nodes")
+    leaves = materialize(nodes.groupBy("leaf").agg(F.count("*").alias("k"), F.sum("rows").alias("rows")), "line-leaves")
+    several = leaves.where("k > 1").select("leaf")
+    # Few leaves hold more than one node: while they are 64 MB at most they go to the lines, else both are shuffled.
+    few = several.count() * 16 <= 64 << 20
+    split = lines.where("n >= 5")
+    inside = split.join(F.broadcast(several), "leaf", "left_semi") if few else join_heavy(split, several, ["leaf"], leaves, limit)
+    one = [F.min("o").alias("first"), F.max("o").alias("last"), F.any_value("n").alias("n"), *(F.any_value(p).alias(p) for p in _HASHES)]
     parts = F.slice(F.array(*_HASHES), 1, F.least(F.lit(PARTS), F.col("n") - LEAD)).alias("parts")
-    open_ = inside.select(*same, "first", "last", "n", parts)
+    open_ = inside.groupBy(*same).agg(*one).select(*same, "first", "last", "n", parts)
     forms = materialize(open_.select(*same, "first", "last", F.explode(_forms()).alias("form")), "line-forms")
     tops = forms.groupBy("form").agg(F.min("first").alias("head"), F.max("last").alias("end"), F.count("*").alias("rows"))
     tops = materialize(tops.where("rows > 1 AND head < end"), "line-tops")
-    general = join_heavy(forms.select(*same, "form"), tops.select("form", "head"), ["form"], tops.select("form", "rows"), limit)
-    found = nodes.where("first < last").select(*same, F.col("first").alias("head")).unionByName(general.select(*same, "head"))
-    least = found.groupBy(*same).agg(F.min("head").alias("head")).join(nodes.select(*same, "last"), same).where("head < last")
-    return materialize(least.select(*same, "head"), "line-heads"), nodes.select(*same, "rows")
+    general = join_heavy(forms.select(*same, "form", "last"), tops.select("form", "head"), ["form"], tops.select("form", "rows"), limit)
+    found = nodes.where("first < last").select(*same, F.col("first").alias("head"), "last").unionByName(general.select(*same, "head", "last"))
+    least = found.groupBy(*same).agg(F.min("head").alias("head"), F.max("last").alias("last")).where("head < last")
+    heads = materialize(least.select(*same, "head"), "line-heads")
+    discard(forms, tops, leaves)
+    return heads, nodes.select(*same, "rows")
 
 
 def _copies(lines: DataFrame, lost: DataFrame) -> DataFrame:
