@@ -152,9 +152,12 @@ def _copies(lines: DataFrame, lost: DataFrame) -> DataFrame:
     by = lost.groupBy(*same, "head").agg(F.sum("n").alias("by"))
     best = by.groupBy(*same).agg(F.sum("by").alias("gone"), F.max(F.struct("by", F.negative("head").alias("m"))).alias("b"))
     kept = every.join(best, same, "left").select(*same, (F.col("all") - F.coalesce("gone", F.lit(0))).alias("kept"), F.col("b.by").alias("by"), F.negative("b.m").alias("head"))
+    kept = materialize(kept, "line-kept")
+    able = kept.where(F.col("by") >= COPY * (F.col("by") + F.col("kept")))
+    many = materialize(able.groupBy("head").agg(F.count("*").alias("rows")), "line-partners")
     partner = kept.groupBy(F.col("o").alias("head")).agg(F.max("kept").alias("theirs"))
-    alike = (F.col("by") >= COPY * (F.col("by") + F.col("kept"))) & (F.col("by") >= COPY * F.col("theirs"))
-    return kept.where("by IS NOT NULL").join(partner, "head").where(alike).select(*same, "head")
+    found = join_heavy(able, partner.join(many.select("head"), "head"), ["head"], many, heavy_limit(lines.sparkSession, kept.count()))
+    return found.where(F.col("by") >= COPY * F.col("theirs")).select(*same, "head")
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leave_copies: bool = False) -> DataFrame:

@@ -7,12 +7,12 @@ keys. Documents with equal sets are one node from the start.
 
 In each bucket the node that shares most buckets with others is the hub, and edges go from it to the other members: a star, so a
 bucket of n nodes has n - 1 edges. Every edge is confirmed on the full sets, and linked nodes join into components (large-star and
-small-star rounds). What a hub refused may still belong to something that the hub accepted. So the nodes of buckets that then still hold
-several components are indexed by their full sets: a node outside its bucket's largest component looks for partners with its rarest
-shingles, as many as must be missing for the similarity to fall below the threshold (those that no other of these nodes has are among
-them, and find nothing). Who shares none of them is surely no partner; of the others three bounds take out those that can't be linked: the sizes, the metric (Jaccard
-distance is one: |d(hub, x) - d(hub, y)| <= 1 - threshold), and sketches at seven standard deviations. These pairs are confirmed as well, so
-that no two members of a bucket that are similar enough end in different components. No candidate is capped.
+small-star rounds). What a hub refused may still belong to something that the hub accepted. So, in buckets that then still hold
+several components, the members outside the largest one meet those of the other components, as far as bounds allow a link:
+the sizes of the two sets and of what each has that no other set among these members has, the metric (Jaccard distance is one:
+|d(hub, x) - d(hub, y)| <= 1 - threshold), and sketches at seven standard deviations. The bounds are part of the join, so what they rule out is
+no row; members meet by classes of size, in blocks of BLOCK members, so that no task has a whole bucket. These pairs are confirmed as
+well, so that no two members of a bucket that are similar enough end in different components. No candidate is capped.
 
 Null and empty texts have the empty set: n_shingles 0, linked with nothing. Repeated rows each have a result row. The component is
 named by its smallest id. Rows without an id link like others; a component in which no row has an id has a null name and a null
@@ -38,6 +38,8 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = np.uint64(0xD1342543DE82EF95)
+#: Members outside a bucket's largest component that one task compares with others.
+BLOCK = 256
 #: Bytes of sets that a Python function sends at a time.
 SENT_BYTES = 4 << 20
 #: Members of a star that one task confirms against one copy of the hub's set.
@@ -204,8 +206,8 @@ class _Once:
         return s
 
 
-def _full_sets(chosen: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """nid, h, fine: the shingles and the fine sketch of each chosen node."""
+def _alone(chosen: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """nid, u, fine, bands: how many shingles of a chosen node no other chosen node has, its fine sketch, its buckets in order."""
     wanted = materialize(chosen.join(nodes.select("nid", "key", "look"), "nid").select(F.col("nid").alias("of"), "key", "look", F.array().cast("array<int>").alias("roles")), "near-wanted")
 
     def emit():
@@ -215,13 +217,16 @@ def _full_sets(chosen: DataFrame, nodes: DataFrame, docs: DataFrame, words: int)
             for text, key, of in zip(b.column("_text"), b.column("key").to_pylist(), b.column("of").to_pylist(), strict=True):
                 s = once.of(text.as_py(), key, of)
                 if s is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array([of]), pa.array([s.view(np.int64)], pa.list_(pa.int64())), pa.array([fine_sketch(s)], pa.list_(pa.int64()))], names=["nid", "h", "fine"])
+                    yield pa.RecordBatch.from_arrays([pa.array([of]), pa.array([s.view(np.int64)], pa.list_(pa.int64())), pa.array([fine_sketch(s)], pa.list_(pa.int64())), pa.array([band_keys(signature(s)).view(np.int64)], pa.list_(pa.int64()))], names=["nid", "h", "fine", "bands"])
 
         return fn
 
-    sets = materialize(map_batches(_with_texts(wanted, docs, 0), "nid long, h array<long>, fine array<long>", emit).dropDuplicates(["nid"]), "near-sets")
-    discard(wanted)
-    return sets
+    sets = materialize(map_batches(_with_texts(wanted, docs, 0), "nid long, h array<long>, fine array<long>, bands array<long>", emit).dropDuplicates(["nid"]), "near-sets")
+    each = sets.select("nid", F.explode("h").alias("h"))
+    once = each.groupBy("h").agg(F.min("nid").alias("nid"), F.max("nid").alias("last")).where("nid = last").groupBy("nid").agg(F.count("*").alias("u"))
+    lonely = materialize(sets.select("nid", "fine", "bands").join(once, "nid", "left").select("nid", "fine", "bands", F.coalesce("u", F.lit(0)).alias("u")), "near-alone")
+    discard(wanted, sets)
+    return lonely
 
 
 def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
@@ -231,8 +236,8 @@ def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) ->
     edges, together. A hot hub is many groups.
     """
     spark = edges.sparkSession
-    hot = edges.groupBy("hub").agg(F.count("*").alias("members"), F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
-    salted = edges.join(hot, "hub").select("hub", "nid", F.pmod(F.xxhash64("nid"), F.col("salts")).cast("int").alias("salt"))
+    hot = materialize(edges.groupBy("hub").agg(F.count("*").alias("rows"), F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts")), "near-hot")
+    salted = join_heavy(edges, hot.select("hub", "salts"), ["hub"], hot, heavy_limit(spark, edges.count())).select("hub", "nid", F.pmod(F.xxhash64("nid"), F.col("salts")).cast("int").alias("salt"))
     roles = salted.select(F.col("nid").alias("of"), "hub", "salt", F.lit(1).alias("role")).unionByName(hot.select(F.col("hub").alias("of"), "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role")))
     wanted = roles.groupBy("of").agg(F.collect_list(F.struct("hub", "salt", "role")).alias("roles")).join(nodes.select(F.col("nid").alias("of"), "key", "look"), "of")
     wanted = materialize(wanted, "near-wanted")
@@ -293,7 +298,7 @@ def _confirm(edges: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) ->
         return fn
 
     tested = materialize(map_batches(dealt, "hub long, nid long, common long, n_hub long, n_nid long", compare).dropDuplicates(["hub", "nid"]), "near-tested")
-    discard(wanted)
+    discard(wanted, hot)
     return tested
 
 
@@ -334,7 +339,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     passes = 100 * F.col("common") >= percent * (F.col("n_hub") + F.col("n_nid") - F.col("common"))
     links = tested.where(passes).select(F.col("hub").alias("a"), F.col("nid").alias("b"))
     labels = connected_components(links)
-    open_ = _unresolved(members, hubs.select("bucket", "hub"), tested, labels, percent, sizes, limit, lambda chosen: _full_sets(chosen, nodes, slim, words))
+    open_ = _unresolved(members, hubs.select("bucket", "hub"), tested, labels, percent, sizes, limit, lambda chosen: _alone(chosen, nodes, slim, words))
     discard(members, hubs, sizes)
     if not open_.isEmpty():
         more = _confirm(open_, nodes, slim, words)
@@ -350,42 +355,47 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("_id") == F.col("component")).alias("kept"), "text_hash")
 
 
-def _unresolved(members: DataFrame, hubs: DataFrame, tested: DataFrame, labels: DataFrame, percent: int, sizes: DataFrame, limit: int, full_sets) -> DataFrame:
-    """Untested pairs (hub, nid) of nodes in different components that share an open bucket or more and that the bounds allow to be linked."""
+def _unresolved(members: DataFrame, hubs: DataFrame, tested: DataFrame, labels: DataFrame, percent: int, sizes: DataFrame, limit: int, alone) -> DataFrame:
+    """Untested pairs (hub, nid) of a bucket's members in different components that the bounds allow to be linked.
+
+    Of a pair's common shingles neither set can count those that it has alone, and both kinds count in the union: most copies that were
+    edited too much for a link are out by this bound without meeting any other.
+    """
     t = percent / 100
     far = F.lit(1.0) - F.col("common") / (F.col("n_hub") + F.col("n_nid") - F.col("common"))
     met = tested.select("hub", "nid", far.alias("d"))
     all_ = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("c", F.coalesce("component", "nid")).drop("component")
     by_c = all_.groupBy("bucket", "c").agg(F.count("*").alias("k"))
     several = by_c.groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("cs")).where("cs > 1").select("bucket", F.col("top.c").alias("main"))
-    # Open nodes, and whether one is outside the largest component of one of its buckets: of two that may be linked one is, or neither bucket is open.
-    of = join_heavy(all_, several.join(hubs, "bucket"), ["bucket"], sizes, limit).join(met, ["hub", "nid"], "left")
-    distance = F.when(F.col("hub") == F.col("nid"), 0.0).otherwise(F.col("d"))
-    one = of.groupBy("nid", "c", "n", "s").agg(F.max(F.col("c") != F.col("main")).alias("minor"), F.min_by(F.struct("hub", distance.alias("d")), F.struct("hub")).alias("at"))
-    seen = materialize(one.select("nid", "c", "n", "s", "minor", "at.hub", "at.d"), "near-all")
-    sets = full_sets(seen.select("nid"))
-    # Pairs of similar sizes alone: sizes fall into classes so that partners are in neighbouring ones.
-    classed = F.floor(F.log("n") / -F.log(F.lit(t)) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
-    each = sets.join(seen.select("nid", "n", "minor"), "nid").select("nid", "n", "minor", classed.alias("k"), F.explode("h").alias("h"))
-    often = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    common = each.where("minor").join(often, "h").select("nid", "n", "k", "h", "df")
-    turn = F.row_number().over(Window.partitionBy("nid").orderBy("df", "h"))
-    alone = F.col("n") - F.count("*").over(Window.partitionBy("nid"))
-    needed = F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9) + 1
-    probes = common.withColumns({"turn": turn, "alone": alone}).where(F.col("turn") + F.col("alone") <= needed).select(F.col("nid").alias("x"), "h", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k"))
-    pairs = probes.join(each.select(F.col("nid").alias("y"), "k", "h"), ["h", "k"]).where("x <> y").select("x", "y").distinct()
-    node = seen.join(sets.select("nid", "fine"), "nid")
-    side = lambda p: node.select(*(F.col(c).alias(p + ("" if c == "nid" else c)) for c in ("nid", "c", "n", "s", "minor", "hub", "d", "fine")))
-    both = pairs.join(side("x"), "x").join(side("y"), "y").where((F.col("xc") != F.col("yc")) & (~F.col("yminor") | (F.col("x") < F.col("y")) | ~F.col("xminor")))
-    near = (F.col("xhub") != F.col("yhub")) | F.coalesce(F.abs(F.col("xd") - F.col("yd")) <= F.lit(1 - t + 1e-9), F.lit(True))
-    apart = F.aggregate(F.zip_with("xfine", "yfine", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    all_ = join_heavy(all_, several.join(hubs, "bucket"), ["bucket"], sizes, limit).join(met, ["hub", "nid"], "left").withColumn("d", F.when(F.col("hub") == F.col("nid"), 0.0).otherwise(F.col("d")))
+    # Who is more than a step of the threshold larger can't be linked: partners are in neighbouring classes of size.
+    k = F.floor(F.log("n") / -F.log(F.lit(t)) + 1e-9).cast("int") if percent < 100 else F.col("n").cast("int")
+    seen = materialize(all_.select("bucket", "main", "nid", "c", "n", "s", "d", k.alias("k")), "near-all")
+    lonely = alone(seen.select("nid").distinct())
+    # Without these: with nobody could one be linked, not even with a set that has all the rest of it and nothing else.
+    all_ = materialize(seen.join(lonely, "nid").where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n")), "near-able")
+    minor = all_.where(F.col("c") != F.col("main"))
+    blocks = minor.groupBy("bucket", "k").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    one = minor.join(blocks, ["bucket", "k"]).withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int")).drop("blocks")
+    other = all_.withColumn("k", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1))).join(blocks, ["bucket", "k"])
+    other = other.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    near = F.coalesce(F.abs(x("d") - y("d")) <= F.lit(1 - t + 1e-9), F.lit(True))
+    twice = (y("c") == y("main")) | (x("nid") < y("nid"))
+    common = F.least(x("n") - x("u"), y("n") - y("u"))
+    union = F.greatest(x("n") + y("u"), y("n") + x("u"))
+    apart = F.aggregate(F.zip_with(x("fine"), y("fine"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
     mean = (1 - t) / 2
     fine = apart <= FINE * (mean + 7 * (mean * (1 - mean) / FINE) ** 0.5)
-    both = both.where(near & _allowed(F.col("xn"), F.col("xs"), F.col("yn"), F.col("ys"), percent) & fine)
-    found = both.select(F.least("x", "y").alias("hub"), F.greatest("x", "y").alias("nid")).distinct()
+    # A pair is made in the first bucket that it shares.
+    place = F.array_position(x("bands"), x("bucket")).cast("int")
+    sooner = F.exists(F.zip_with(F.slice(x("bands"), 1, place - 1), F.slice(y("bands"), 1, place - 1), lambda a, b: a == b), lambda e: e)
+    same = (x("bucket") == y("bucket")) & (x("k") == y("k")) & (x("block") == y("block"))
+    able = (x("c") != y("c")) & twice & near & (100 * common >= percent * union) & _allowed(x("n"), x("s"), y("n"), y("s"), percent) & fine & ~sooner
+    pairs = one.alias("x").join(other.alias("y"), same & able).select(F.least("x.nid", "y.nid").alias("hub"), F.greatest("x.nid", "y.nid").alias("nid")).distinct()
     done = tested.select(F.least("hub", "nid").alias("hub"), F.greatest("hub", "nid").alias("nid"))
-    open_ = materialize(found.join(done, ["hub", "nid"], "left_anti"), "near-open")
-    discard(seen, sets)
+    open_ = materialize(pairs.join(done, ["hub", "nid"], "left_anti"), "near-open")
+    discard(seen, all_, lonely)
     return open_
 
 
