@@ -31,7 +31,7 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 from .common import append_columns, fresh, table
 
 MARK = "▁"
-CHUNKS_KEPT = 200_000
+CHUNKS_KEPT = 150_000
 #: Characters of new chunks that are indexed at a time, and the longest chunk that is relaxed with others.
 INDEX_CHARS, LONG_CHUNK = 200_000, 200
 _NONE = np.int64((1 << 62) - 1)
