@@ -21,6 +21,7 @@ import re
 import zlib
 from array import array
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,9 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 from .common import append_columns, fresh, table
 
 MARK = "▁"
-CHUNKS_KEPT = 200_000
+CHUNKS_KEPT = 300_000
 #: Characters of new chunks that are indexed at a time, and the longest chunk that is relaxed with others.
-INDEX_CHARS, LONG_CHUNK = 200_000, 200
+INDEX_CHARS, LONG_CHUNK = 250_000, 200
 _NONE = np.int64((1 << 62) - 1)
 
 
@@ -88,6 +89,11 @@ def occurrence_ranges(codes: np.ndarray, order: np.ndarray, pieces: np.ndarray,
     return lo, hi
 
 
+def _joined(keys: list, of) -> bytes:
+    """The values of some keys in one."""
+    return b"".join(itemgetter(*keys)(of)) if len(keys) > 1 else b"".join(of[k] for k in keys)
+
+
 class PieceModel:
     def __init__(self, path: str):
         import sentencepiece
@@ -123,7 +129,9 @@ class PieceModel:
             table_[i] = bytes([b])
         table_[self.unknown] = " ⁇ ".encode()
         self.bytes = table_
+        #: Ids of chunks: those met lately, and those of the time before. When the first are half of CHUNKS_KEPT they become the second.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _finish(self, symbols: list[str]) -> bytes:
         out: list[int] = []
@@ -249,26 +257,32 @@ class PieceModel:
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """The ids of each text (int32)."""
         split = [None if t is None else self.chunk.findall(self.sp.normalize(t)) if t else [] for t in texts]
-        new = {c for s in split if s for c in s if c not in self.known}
-        found: dict[str, bytes] = {}
+        distinct: set[str] = set()
+        for s in split:
+            distinct.update(s or ())
+        known, older, new = self.known, self.older, []
+        for c in distinct:
+            if c not in known:
+                if c in older:
+                    known[c] = older[c]
+                else:
+                    new.append(c)
         part, size = [], 0
         for c in sorted(new):
             if part and size + len(c) > INDEX_CHARS:
-                found |= self._index(part)
+                known.update(self._index(part))
                 part, size = [], 0
             part.append(c)
             size += len(c) + 1
         if part:
-            found |= self._index(part)
-        known = self.known
-        if len(known) + len(found) <= CHUNKS_KEPT:
-            known.update(found)
-        else:
-            known = {**{c: known[c] for s in split if s for c in s if c in known}, **found}
-        return [None if s is None else np.frombuffer(b"".join([known[c] for c in s]), dtype=np.int32) for s in split]
+            known.update(self._index(part))
+        out = [None if s is None else np.frombuffer(_joined(s, known), dtype=np.int32) for s in split]
+        if len(known) > CHUNKS_KEPT // 2:
+            self.known, self.older = {}, known
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join([self.bytes[i] for i in ids.tolist()]).decode("utf-8", "replace").replace(MARK, " ")
+        raw = _joined(ids.tolist(), self.bytes).decode("utf-8", "replace").replace(MARK, " ")
         return raw[1:] if raw[:1] == " " else raw
 
 
@@ -339,26 +353,30 @@ def decode(rows: DataFrame, model: str, ids_col: str) -> tuple[DataFrame, str]:
 
 
 def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_crc32 (of the ids as little-endian 32-bit numbers) and whether the ids decode to the text."""
-    encoded, ids = encode(docs.select(id_col, text_col), model, text_col)
-    names = [fresh(encoded.columns, c) for c in ("ids_crc32", "round_trip")]
+    """id, n_tokens, ids_crc32 (of the ids as little-endian 32-bit numbers) and whether the ids decode to the text.
+
+    The worker that encodes a text decodes its ids, so these never leave it.
+    """
+    slim = docs.select(id_col, text_col)
+    names = [fresh(slim.columns, c) for c in ("n_tokens", "ids_crc32", "round_trip")]
 
     def make():
         m = piece_model(model)
 
-        def fn(texts, lists):
-            crc, same = [], []
-            for t, x in zip(texts, lists, strict=True):
-                own = x.values.to_numpy() if x.is_valid else None
-                crc.append(None if own is None else zlib.crc32(own.astype("<i4").tobytes()))
-                same.append(not t.is_valid if own is None else m.decode(own) == t.as_py())
-            return [pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
+        def fn(texts):
+            n, crc, same = [], [], []
+            for lo in range(0, len(texts), 250):
+                rows = texts.slice(lo, 250).to_pylist()
+                for t, ids in zip(rows, m.encode(rows), strict=True):
+                    n.append(0 if ids is None else len(ids))
+                    crc.append(None if ids is None else zlib.crc32(ids.astype("<i4", copy=False).tobytes()))
+                    same.append(t is None if ids is None else m.decode(ids) == t)
+            return [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
 
         return fn
 
-    out = append_columns(encoded, [text_col, ids], [StructField(names[0], LongType()), StructField(names[1], BooleanType())], make)
-    n = F.when(F.col(ids).isNull(), F.lit(0)).otherwise(F.size(ids)).cast("long")
-    return out.select(id_col, n.alias("n_tokens"), F.col(names[0]).alias("ids_crc32"), F.col(names[1]).alias("round_trip"))
+    out = append_columns(slim, [text_col], [StructField(names[0], LongType()), StructField(names[1], LongType()), StructField(names[2], BooleanType())], make)
+    return out.select(id_col, *(F.col(c).alias(k) for c, k in zip(names, ("n_tokens", "ids_crc32", "round_trip"), strict=True)))
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
