@@ -20,6 +20,7 @@ import heapq
 import re
 import zlib
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from operator import itemgetter
 
@@ -33,6 +34,8 @@ from .common import append_columns, fresh, table
 
 MARK = "▁"
 CHUNKS_KEPT = 300_000
+#: Characters of texts that are encoded at a time.
+BATCH_CHARS = 4_000_000
 #: Characters of new chunks that are indexed at a time, and the longest chunk that is relaxed with others.
 INDEX_CHARS, LONG_CHUNK = 250_000, 200
 _NONE = np.int64((1 << 62) - 1)
@@ -298,7 +301,7 @@ def default_model() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", batch_chars: int = 2_000_000, round_trip: str | None = None) -> tuple[DataFrame, str]:
+def encode(docs: DataFrame, model: str, text_col: str = "text", batch_chars: int = BATCH_CHARS, round_trip: str | None = None) -> tuple[DataFrame, str]:
     """docs with a column of piece ids, and that column's name.
 
     round_trip: the name of one more column, whether the ids decode to the text; the same worker decodes, so a task needs one.
@@ -309,16 +312,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", batch_chars: int
         m = piece_model(model)
 
         def fn(texts):
-            held, size, arrays = [], 0, []
-            for t in texts:
-                t = t.as_py()
-                held.append(t)
-                size += len(t or "")
-                if size >= batch_chars:
-                    arrays.append(arrow(m.encode(held)))
-                    held, size = [], 0
-            if held:
-                arrays.append(arrow(m.encode(held)))
+            arrays = [arrow(m.encode(held)) for held in _by_size(texts, batch_chars)]
             ids = pa.concat_arrays(arrays)
             if round_trip is None:
                 return [ids]
@@ -352,6 +346,19 @@ def decode(rows: DataFrame, model: str, ids_col: str) -> tuple[DataFrame, str]:
     return append_columns(rows, [ids_col], [StructField(name, StringType())], make), name
 
 
+def _by_size(texts: pa.Array, most: int) -> Iterator[list[str | None]]:
+    """Lists of texts with about `most` characters each."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t.as_py())
+        size += len(held[-1] or "")
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens, ids_crc32 (of the ids as little-endian 32-bit numbers) and whether the ids decode to the text.
 
@@ -365,8 +372,7 @@ def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
         def fn(texts):
             n, crc, same = [], [], []
-            for lo in range(0, len(texts), 250):
-                rows = texts.slice(lo, 250).to_pylist()
+            for rows in _by_size(texts, BATCH_CHARS):
                 for t, ids in zip(rows, m.encode(rows), strict=True):
                     n.append(0 if ids is None else len(ids))
                     crc.append(None if ids is None else zlib.crc32(ids.astype("<i4", copy=False).tobytes()))
