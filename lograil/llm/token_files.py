@@ -117,8 +117,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
         def fn(b):
             ids, ends, held, size = [], [], [], 0
-            for lo in range(0, b.num_rows, 200):
-                rows = b.slice(lo, 200)
+            for lo in range(0, b.num_rows, 500):
+                rows = b.slice(lo, 500)
                 for i, e in zip(rows.column("i").to_pylist(), enc.encode([t or "" for t in rows.column("t").to_pylist()]), strict=True):
                     held += [e, np.array([end_id], dtype=np.uint32)]
                     size += len(e) + 1

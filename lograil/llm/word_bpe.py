@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 
@@ -18,8 +19,13 @@ _LETTER, _NUMBER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ", "0-9\xb2\xb3\xb9\xbc-\xbe"
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+")
 #: What the splitting rule above stands for; any other tokenizer file gets all texts whole.
 _RULE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: Words held in memory; beyond it words are known for a batch only.
-WORDS_KEPT = 400_000
+#: Words held in memory: those met lately, and as many of the time before.
+WORDS_KEPT = 1_000_000
+
+
+def _joined(words: list[str], of: dict[str, bytes]) -> bytes:
+    """The ids of some words in one."""
+    return b"".join(itemgetter(*words)(of)) if len(words) > 1 else b"".join(of[w] for w in words)
 
 
 class Encoder:
@@ -39,6 +45,7 @@ class Encoder:
             for t, i in spec["model"]["vocab"].items():
                 self.last[i] = t.endswith(suffix)
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -46,35 +53,36 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         split: list[list[str] | None] = []
-        new: set[str] = set()
+        distinct: set[str] = set()
         for t in texts:
             if self.known and _PLAIN.fullmatch(t) and not any(s in t for s in self.special):
-                words = _WORD.findall(t.lower())
-                new.update(w for w in words if w not in self.words)
-                split.append(words)
+                split.append(_WORD.findall(t.lower()))
+                distinct.update(split[-1])
             else:
                 split.append(None)
-        words = self.words
-        if new:
-            order = list(new)
-            found: dict[str, bytes] = {}
-            for lo in range(0, len(order), 2000):
-                part = order[lo : lo + 2000]
-                ids = self._whole([" ".join(part)])[0]
-                cut = np.flatnonzero(self.last[ids]) + 1
-                if len(cut) == len(part):
-                    at = 0
-                    for w, end in zip(part, cut.tolist(), strict=True):
-                        found[w] = ids[at:end].tobytes()
-                        at = end
-                else:  # a word that the library splits further, alone or beside its neighbours
-                    found.update((w, e.tobytes()) for w, e in zip(part, self._whole(part), strict=True))
-            if len(words) + len(found) <= WORDS_KEPT:
-                words.update(found)
-            else:
-                words = {**{w: words[w] for s in split if s for w in s if w in words}, **found}
+        words, older, new = self.words, self.older, []
+        for w in distinct:
+            if w not in words:
+                if w in older:
+                    words[w] = older[w]
+                else:
+                    new.append(w)
+        for lo in range(0, len(new), 2000):
+            part = new[lo : lo + 2000]
+            ids = self._whole([" ".join(part)])[0]
+            cut = np.flatnonzero(self.last[ids]) + 1
+            if len(cut) == len(part):
+                raw, at = ids.tobytes(), 0
+                for w, end in zip(part, (4 * cut).tolist(), strict=True):
+                    words[w] = raw[at:end]
+                    at = end
+            else:  # a word that the library splits further, alone or beside its neighbours
+                words.update((w, e.tobytes()) for w, e in zip(part, self._whole(part), strict=True))
         whole = iter(self._whole([t for t, s in zip(texts, split, strict=True) if s is None]))
-        return [next(whole) if s is None else np.frombuffer(b"".join([words[w] for w in s]), dtype=np.uint32) for s in split]
+        out = [next(whole) if s is None else np.frombuffer(_joined(s, words), dtype=np.uint32) for s in split]
+        if len(words) > WORDS_KEPT // 2:
+            self.words, self.older = {}, words
+        return out
 
 
 @lru_cache(maxsize=2)
