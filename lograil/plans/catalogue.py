@@ -399,6 +399,22 @@ def lru_topk(spark, d):
     return align.newest(used, "last_used", 1000, "user_id")
 
 
+@query("SELECT event_id, user_id FROM events ORDER BY event_id DESC LIMIT 500")
+def fifo_memory(spark, d):
+    """What a memory of 500 entries holds that forgets its oldest."""
+    return memory.fifo(table(spark, d, "events").select("event_id", "user_id"), 500, "event_id")
+
+
+@query("""WITH p AS (SELECT item_id, list_distinct(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) AS b FROM benchmark), m AS (SELECT DISTINCT text, list_distinct(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) AS a FROM conversations WHERE conv_id % 3 = 0),
+s AS (SELECT text, item_id, len(list_intersect(a, b)) * 1e0 / len(list_distinct(list_concat(a, b))) AS sim FROM m, p), r AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY sim DESC, item_id) AS rank FROM s)
+SELECT md5(text) AS message, CAST(item_id AS VARCHAR) AS template, round(sim, 9) AS similarity FROM r WHERE rank = 1 AND sim >= 0.1e0""")
+def medoid_reconcile(spark, d):
+    """Messages that are like enough to the reference log of a cached entry, and its template."""
+    cache = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("template"), F.col("text").alias("ref_log"), F.col("item_id").alias("seq"))
+    found = match.reconcile(table(spark, d, "conversations").where("conv_id % 3 = 0").select(F.col("text").alias("message")), cache, 0.1)
+    return found.select(F.md5("message").alias("message"), "template", F.round("similarity", 9).alias("similarity"))
+
+
 @query("SELECT user_id, max(ts) AS last_matched FROM events GROUP BY user_id HAVING max(ts) >= TIMESTAMP '2024-02-20' - INTERVAL 30 DAY")
 def ttl_prune(spark, d):
     """Entries used in the last 30 days."""
