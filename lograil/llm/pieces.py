@@ -2,7 +2,7 @@
 
 The texts of a batch fall into chunks (a run of word marks and what follows up to the next one; no piece crosses from one chunk into the
 next). What is indexed is the batch's distinct chunks that this worker has not met before, as one concatenated text; the ids of those that it
-has met come from a memo of at most CHUNKS_KEPT chunks. The index is a suffix array, sorted on as many characters as the longest piece has.
+has met come from a memo of about CHUNKS_KEPT chunks. The index is a suffix array, sorted on as many characters as the longest piece has.
 Each piece of the vocabulary is found in it by binary search: the occurrences are a range of the array. Each occurrence is an edge over
 the text; the edges are sorted by position and relaxed. The model is byte-pair: the relaxation applies in every chunk the best-scored edge
 that spans exactly two symbols, the leftmost of equals, until none is left, which is how such a model defines its encoding. All chunks take
@@ -98,7 +98,7 @@ def _joined(keys: list, of) -> bytes:
 
 
 class PieceModel:
-    def __init__(self, path: str):
+    def __init__(self, path: str, chunks_kept: int = CHUNKS_KEPT, index_chars: int = INDEX_CHARS):
         import sentencepiece
 
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -132,7 +132,8 @@ class PieceModel:
             table_[i] = bytes([b])
         table_[self.unknown] = " ⁇ ".encode()
         self.bytes = table_
-        #: Ids of chunks: those met lately, and those of the time before. When the first are half of CHUNKS_KEPT they become the second.
+        #: Ids of chunks: those met lately, and those of the time before. When the first are half of chunks_kept they become the second.
+        self.chunks_kept, self.index_chars = chunks_kept, index_chars
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -194,12 +195,17 @@ class PieceModel:
         order = suffix_array(codes, self.depth)
         lo, hi = occurrence_ranges(codes, order, pieces, self.piece_length[possible])
         counts = hi - lo
-        which = np.repeat(np.arange(len(possible)), counts)
-        inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        d = self.depth + 1
-        keys = order[lo[which] + inner] * d + self.piece_length[possible][which]
-        sort = np.argsort(keys, kind="stable")
-        keys, ranks = keys[sort], self.piece_rank[possible][which][sort]
+        # An edge is one number, of its start, length and rank in this order; no two have the same start and length.
+        d, bits = self.depth + 1, int(self.piece_rank.max(initial=0)).bit_length()
+        place = np.repeat(lo - np.cumsum(counts) + counts, counts)
+        place += np.arange(len(place))
+        edges = order[place]
+        del place
+        edges *= d << bits
+        edges += np.repeat((self.piece_length[possible] << bits) | self.piece_rank[possible], counts)
+        edges.sort()
+        keys, ranks = edges >> bits, edges & ((1 << bits) - 1)
+        del edges
         keys = np.append(keys, _NONE)
         ranks = np.append(ranks, 0)
 
@@ -259,12 +265,13 @@ class PieceModel:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """The ids of each text (int32)."""
-        split = [None if t is None else self.chunk.findall(self.sp.normalize(t)) if t else [] for t in texts]
-        distinct: set[str] = set()
-        for s in split:
-            distinct.update(s or ())
+        split: list[list[str] | None] = []
+        one: dict[str, str] = {}  # of equal chunks only one stays in memory
+        for t in texts:
+            found = self.chunk.findall(self.sp.normalize(t)) if t else []
+            split.append(None if t is None else list(map(one.setdefault, found, found)))
         known, older, new = self.known, self.older, []
-        for c in distinct:
+        for c in one:
             if c not in known:
                 if c in older:
                     known[c] = older[c]
@@ -272,7 +279,7 @@ class PieceModel:
                     new.append(c)
         part, size = [], 0
         for c in sorted(new):
-            if part and size + len(c) > INDEX_CHARS:
+            if part and size + len(c) > self.index_chars:
                 known.update(self._index(part))
                 part, size = [], 0
             part.append(c)
@@ -280,7 +287,7 @@ class PieceModel:
         if part:
             known.update(self._index(part))
         out = [None if s is None else np.frombuffer(_joined(s, known), dtype=np.int32) for s in split]
-        if len(known) > CHUNKS_KEPT // 2:
+        if len(known) > self.chunks_kept // 2:
             self.known, self.older = {}, known
         return out
 
@@ -290,9 +297,9 @@ class PieceModel:
 
 
 @lru_cache(maxsize=1)
-def piece_model(path: str) -> PieceModel:
+def piece_model(path: str, chunks_kept: int = CHUNKS_KEPT, index_chars: int = INDEX_CHARS) -> PieceModel:
     """One for each worker process and file."""
-    return PieceModel(path)
+    return PieceModel(path, chunks_kept, index_chars)
 
 
 def default_model() -> str:
@@ -301,15 +308,18 @@ def default_model() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", batch_chars: int = BATCH_CHARS, round_trip: str | None = None) -> tuple[DataFrame, str]:
+def encode(
+    docs: DataFrame, model: str, text_col: str = "text", batch_chars: int = BATCH_CHARS, round_trip: str | None = None, chunks_kept: int = CHUNKS_KEPT, index_chars: int = INDEX_CHARS
+) -> tuple[DataFrame, str]:
     """docs with a column of piece ids, and that column's name.
 
     round_trip: the name of one more column, whether the ids decode to the text; the same worker decodes, so a task needs one.
+    batch_chars, chunks_kept, index_chars: smaller ones take less memory and more time; the ids are the same.
     """
     name = fresh(docs.columns, "piece_ids")
 
     def make():
-        m = piece_model(model)
+        m = piece_model(model, chunks_kept, index_chars)
 
         def fn(texts):
             arrays = [arrow(m.encode(held)) for held in _by_size(texts, batch_chars)]

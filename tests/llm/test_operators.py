@@ -671,6 +671,21 @@ def test_one_relaxation_for_all_chunks(monkeypatch):
     assert all((a == b).all() and (a == c).all() for a, b, c in zip(*ids, strict=True))
 
 
+def test_equal_chunks_are_held_once():
+    import tracemalloc
+
+    model = pieces.PieceModel(pieces.default_model())
+    rng = random.Random(12)
+    texts = [" ".join(f"word{rng.randrange(50)}" for _ in range(2000)) for _ in range(100)]
+    want = model.encode(texts)
+    tracemalloc.start()
+    model.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 * 200_000
+    assert all((a == b).all() for a, b in zip(want, pieces.PieceModel(pieces.default_model(), 20, 40).encode(texts), strict=True))
+
+
 # The registered queries on tables of their own
 
 
