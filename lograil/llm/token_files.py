@@ -20,9 +20,11 @@ from __future__ import annotations
 import struct
 import zlib
 from bisect import bisect_right
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ END_ID = 2
 SEGMENT_TOKENS = 1 << 16
 #: So many segments are named in the filter that a reader pushes down; more are joined.
 NAMED = 200
+#: Bytes of text, or one text, that are encoded at a time.
+TEXT_AT_ONCE = 1 << 21
 _RANK_BITS = 512
 
 
@@ -117,8 +121,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
         def fn(b):
             ids, ends, held, size = [], [], [], 0
-            for lo in range(0, b.num_rows, 500):
-                rows = b.slice(lo, 500)
+            run = np.cumsum(pc.fill_null(pc.binary_length(b.column("t")), 0).to_numpy(), dtype=np.int64) // TEXT_AT_ONCE
+            for lo, hi in pairwise([0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), b.num_rows]):
+                rows = b.slice(lo, hi - lo)
                 for i, e in zip(rows.column("i").to_pylist(), enc.encode([t or "" for t in rows.column("t").to_pylist()]), strict=True):
                     held += [e, np.array([end_id], dtype=np.uint32)]
                     size += len(e) + 1
@@ -161,9 +166,10 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", wit
         def fn(b):
             for part, before, docs, ends, raw in zip(*(b.column(c).to_pylist() for c in ("part", "before", "doc_ids", "ends", "raw")), strict=True):
                 segment, lo, rows, start = Segment(raw), 0, [], starts[part] + before
+                every = segment.slice(0, segment.n).astype("<u4")
                 for i, hi in zip(docs, ends, strict=True):
-                    ids = segment.slice(lo, hi)
-                    rows.append((i, start + lo, hi - lo, zlib.crc32(ids.astype("<u4").tobytes()), ids.tolist() if with_ids else None))
+                    ids = every[lo:hi]
+                    rows.append((i, start + lo, hi - lo, zlib.crc32(ids), ids.tolist() if with_ids else None))
                     lo = hi
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())][: 4 + with_ids]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=False)], names=[id_col, "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids])

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lograil.llm import decontamination, line_dedup, near_dup, neighbours, pieces, secrets, sharding, token_counts, token_files, toxicity
+from lograil.llm import decontamination, line_dedup, near_dup, neighbours, pieces, secrets, sharding, token_counts, token_files, toxicity, word_bpe
 from lograil.llm.common import join_heavy
 from lograil.llm.components import connected_components
 
@@ -351,6 +351,64 @@ def test_codes_are_directly_addressable():
             assert (segment.slice(a, b) == ids[a:b]).all()
 
 
+def word_encoder():
+    import public_tokenizers
+
+    return word_bpe.Encoder(str(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def test_words_cut_by_bytes_are_the_librarys():
+    enc, rng = word_encoder(), random.Random(5)
+    plain = [chr(k) for k in (9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x180)) if k != 0x130] + list("–—‘’“”…€")
+    few = "aabstdrmvel'''\"’-,.;:!? \t\n05²½éßÀŸ×÷ªµſ…"
+    texts = ["", " ", "\n", *("".join(rng.choice(letters) for _ in range(rng.randrange(60))) for letters in (few, plain) for _ in range(4000))]
+    texts += [f"a{x}'s{y}b" for x in plain for y in few]
+    assert all(word_bpe._PLAIN.fullmatch(t) for t in texts)
+    for some in (texts, texts[::-1] + ["漢字 don't <|endoftext|>", "☃"] + texts[:5]):  # words that are new, and words from memory among whole texts
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(enc.encode(some), enc._whole(some), strict=True))
+    assert enc.encode([]) == []
+
+
+def test_words_survive_both_generations(monkeypatch):
+    monkeypatch.setattr(word_bpe, "WORDS_KEPT", 40)
+    enc, rng = word_encoder(), random.Random(6)
+    for _ in range(30):
+        texts = [" ".join(f"{rng.choice('abc')}{rng.choice('def')}word, it's" for _ in range(rng.randrange(9))) for _ in range(20)]
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(enc.encode(texts), enc._whole(texts), strict=True))
+
+
+def test_texts_of_known_words_are_not_split_by_the_rule(monkeypatch):
+    class Counting:
+        chars = 0
+
+        def findall(self, text):
+            self.chars += len(text)
+            return rule.findall(text)
+
+    rule, counting = word_bpe._WORD, Counting()
+    enc, rng = word_encoder(), random.Random(7)
+    words = ["".join(rng.choice("abcdefghé") for _ in range(8)) for _ in range(2000)]
+    texts = [" ".join(rng.choices(words, k=300)) + ". Then it's 12, or 2023!" for _ in range(100)]
+    want = enc._whole(texts)
+    monkeypatch.setattr(word_bpe, "_WORD", counting)
+    for _ in range(2):
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(enc.encode(texts), want, strict=True))
+    assert counting.chars < sum(map(len, texts)) / 20
+
+
+def test_token_files_encode_long_texts_in_runs(spark, tmp_path, monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    model = str(public_tokenizers.path("word_bpe_49k.json"))
+    tok = Tokenizer.from_file(model)
+    texts = {i: None if i % 11 == 5 else f"text{i} of words, don't. " * (i * 7 % 13) for i in range(60)}
+    monkeypatch.setattr(token_files, "TEXT_AT_ONCE", 200)
+    token_files.write_token_files(docs_of(spark, [(i, t, "s") for i, t in texts.items()]), model, f"file://{tmp_path}/t")
+    got = {r["doc_id"]: list(r["ids"]) for r in token_files.read_token_files(spark, f"file://{tmp_path}/t", with_ids=True).collect()}
+    assert got == {i: [*tok.encode(t or "", add_special_tokens=False).ids, 2] for i, t in texts.items()}
+
+
 def test_token_files_round_trip(spark, tmp_path, odd, nothing):
     import public_tokenizers
     from tokenizers import Tokenizer
